@@ -7,8 +7,30 @@ from pyspark.sql import functions as F
 
 from punctual.llm.leakage import find_leaks
 from punctual.llm.lookalike import alike_pairs, fit_rewriter, normalize_texts
+from punctual.llm.prefix_bpe import encode_corpus
+from punctual.llm.rank_summary import daily_summaries, group_percentiles, merge_summaries, percentiles
 from punctual.session import table
 
+PERCENTILES = (0.05, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
+GROUP = ["route_id", "hour_local"]
+
+
+def p1_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """Percentiles of the delay per route and hour, within 0.2 % of the group's ranks."""
+    return group_percentiles(table(spark, d, "gold_timepoint_departures"), GROUP, "service_date", "delay_s", PERCENTILES)
+
+
+def p1_daily_median(spark: SparkSession, d: str) -> DataFrame:
+    """The median per route, hour and service date: the partial results that p1_percentiles combines."""
+    days = [*GROUP, "service_date"]
+    rows = daily_summaries(table(spark, d, "gold_timepoint_departures"), GROUP, "service_date", "delay_s")
+    return percentiles(merge_summaries(rows, days, 0.002), days, [0.5])
+
+
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    """The token ids of every document."""
+    return encode_corpus(table(spark, d, "documents"))
+
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     """Every document that contains a passage of an evaluation item."""
@@ -33,8 +55,18 @@ def p9_normalized(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p8_found, p8_items, p9_found, p9_normalized)}
+    return {f.__name__: f for f in (p1_percentiles, p1_daily_median, p7_ids, p8_found, p8_items, p9_found, p9_normalized)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    cols = ", ".join(
+        f"CAST(quantile_disc(delay_s, {q}) AS DOUBLE) AS p{100 * q:g}" for q in PERCENTILES
+    )
+    # Exact at the size of the SQL check: no group there reaches the 250 values from which summaries are compressed.
+    return {
+        "p1_percentiles": f"SELECT route_id, hour_local, count(*) AS n, {cols}, CAST(0 AS BIGINT) AS rank_error "
+        "FROM gold_timepoint_departures WHERE delay_s IS NOT NULL GROUP BY ALL",
+        "p1_daily_median": "SELECT route_id, hour_local, service_date, count(*) AS n, "
+        "CAST(quantile_disc(delay_s, 0.5) AS DOUBLE) AS p50, CAST(0 AS BIGINT) AS rank_error "
+        "FROM gold_timepoint_departures WHERE delay_s IS NOT NULL GROUP BY ALL",
+    }
