@@ -85,16 +85,33 @@ _REASON = """CASE WHEN vehicle_id IS NULL OR trim(vehicle_id) = '' THEN 'missing
   WHEN floor(epoch(fetched_at)) - floor(epoch(event_ts)) < -300 THEN 'timestamp_in_future' END"""
 
 
-@query(f"SELECT vehicle_id, event_ts, {_REASON} AS reason FROM {VP}")
+_E = "CAST(floor(epoch(event_ts)) AS BIGINT)"
+_DAMAGED = f"""damaged AS (SELECT CASE WHEN {_E} % 11 = 0 THEN ' ' ELSE vehicle_id END AS vehicle_id, event_ts, CASE WHEN {_E} % 13 = 0 THEN NULL WHEN {_E} % 17 = 0 THEN 95
+  WHEN {_E} % 23 = 0 THEN 0 ELSE latitude END AS latitude, CASE WHEN {_E} % 23 = 0 THEN 0 ELSE longitude END AS longitude,
+  CASE WHEN {_E} % 19 = 0 THEN event_ts - INTERVAL 400 SECOND ELSE fetched_at END AS fetched_at FROM {VP})"""
+
+
+def damaged(spark: SparkSession, d: str) -> DataFrame:
+    """Positions of which some break each rule."""
+    hit = lambda n: F.unix_seconds("event_ts") % n == 0
+    return T(spark, d, VP).withColumns({
+        "vehicle_id": F.when(hit(11), " ").otherwise(F.col("vehicle_id")),
+        "latitude": F.when(hit(13), None).when(hit(17), 95.0).when(hit(23), 0.0).otherwise(F.col("latitude")),
+        "longitude": F.when(hit(23), 0.0).otherwise(F.col("longitude")),
+        "fetched_at": F.when(hit(19), F.col("event_ts") - F.expr("interval 400 seconds")).otherwise(F.col("fetched_at")),
+    })
+
+
+@query(f"WITH {_DAMAGED} SELECT vehicle_id, event_ts, {_REASON} AS reason FROM damaged")
 def dq_reason(spark, d):
     """The first rule that a position breaks."""
-    return T(spark, d, VP).select("vehicle_id", "event_ts", S.first_reason(feeds.position_rules()).alias("reason"))
+    return damaged(spark, d).select("vehicle_id", "event_ts", S.first_reason(feeds.position_rules()).alias("reason"))
 
 
-@query(f"""SELECT coalesce({_REASON}, 'valid') AS reason, count(*) AS n, count({_REASON}) AS records FROM {VP} GROUP BY 1""")
+@query(f"""WITH {_DAMAGED} SELECT coalesce({_REASON}, 'valid') AS reason, count(*) AS n, count({_REASON}) AS records FROM damaged GROUP BY 1""")
 def quarantine_split(spark, d):
     """Usable rows and quarantined records by reason."""
-    rows = T(spark, d, VP).withColumn("_dq_reason", S.first_reason(feeds.position_rules()))
+    rows = damaged(spark, d).withColumn("_dq_reason", S.first_reason(feeds.position_rules()))
     good = feeds.valid(rows).groupBy(F.lit("valid").alias("reason")).agg(F.count("*").alias("n"), F.lit(0).cast("long").alias("records"))
     bad = feeds.quarantined(rows, "vehicle_positions")
     return good.unionByName(bad.groupBy("reason").agg(F.count("*").alias("n"), F.count("record").alias("records")))
@@ -215,14 +232,14 @@ def stream_late_drop(spark, d):
     return spark.read.parquet(out).select("user_id", "event_id")
 
 
-@query(f"""WITH x AS (SELECT *, {_REASON} AS reason FROM {VP}) SELECT 'vehicle_positions' AS feed, count(*) AS bronze_rows, count(reason) AS quarantined,
+@query(f"""WITH {_DAMAGED}, x AS (SELECT *, {_REASON} AS reason FROM damaged) SELECT 'vehicle_positions' AS feed, count(*) AS bronze_rows, count(reason) AS quarantined,
   count(*) FILTER (WHERE reason IS NULL) - count(DISTINCT CASE WHEN reason IS NULL THEN (vehicle_id, event_ts) END) AS duplicates,
   count(DISTINCT CASE WHEN reason IS NULL THEN (vehicle_id, event_ts) END) AS silver_rows,
   round(100.0 * (count(*) FILTER (WHERE reason IS NULL) - count(DISTINCT CASE WHEN reason IS NULL THEN (vehicle_id, event_ts) END)) / count(*), 2) AS pct_duplicates
   FROM x""")
 def reconcile(spark, d):
     """Where every row went, in one pass."""
-    rows = T(spark, d, VP).withColumn("good", S.first_reason(feeds.position_rules()).isNull())
+    rows = damaged(spark, d).withColumn("good", S.first_reason(feeds.position_rules()).isNull())
     sums = rows.agg(
         F.count("*").alias("bronze_rows"), F.count_if("good").alias("valid"), F.count_distinct(F.when(F.col("good"), F.struct("vehicle_id", "event_ts"))).alias("silver_rows")
     )
