@@ -21,10 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from punctual.operators.skew import Salts
+from punctual.operators.skew import OWN, SALT, Salts
 
 NEVER = np.iinfo(np.int64).max
 ROWS_PER_PART = 200_000
+AT, FROM, TO, RECORDED = (f"{OWN}{x}" for x in ("at", "from", "to", "recorded"))
 
 
 def _number(df: DataFrame, column: str) -> Column:
@@ -81,29 +82,29 @@ def as_known(
     )
     timed = events.where(usable)
     salts = Salts(timed, [entity], rows_per_part)
-    left = salts.spread(timed.withColumn("_at", _number(events, at)))
+    left = salts.spread(timed.withColumn(AT, _number(events, at)))
     versions = changes.where(F.col(entity).isNotNull() & F.col(valid_from).isNotNull()).select(
-        F.col(entity), *[F.col(a).alias(f"_a_{a}") for a in attributes], _number(changes, valid_from).alias("_from"),
-        F.coalesce(_number(changes, valid_to), F.lit(int(NEVER))).alias("_to"),
-        (F.coalesce(_number(changes, recorded), F.lit(int(NEVER))) if recorded else F.lit(0).cast("long")).alias("_recorded"),
+        F.col(entity), *[F.col(a).alias(f"{OWN}a_{a}") for a in attributes], _number(changes, valid_from).alias(FROM),
+        F.coalesce(_number(changes, valid_to), F.lit(int(NEVER))).alias(TO),
+        (F.coalesce(_number(changes, recorded), F.lit(int(NEVER))) if recorded else F.lit(0).cast("long")).alias(RECORDED),
     )
     right = salts.copies(versions)
 
     def find(ev: pa.Table, ch: pa.Table) -> pa.Table:
-        time = ev.column("_at").to_numpy()
+        time = ev.column(AT).to_numpy()
         if ch.num_rows:
-            order = [("_from", "ascending"), ("_recorded", "ascending")]
-            ch = ch.take(pa.compute.sort_indices(ch, order + [(f"_a_{a}", "ascending") for a in attributes]))
-            rec = ch.column("_recorded").to_numpy() if recorded else None
-            pick = latest_valid(time, ch.column("_from").to_numpy(), ch.column("_to").to_numpy(), rec)
+            order = [(FROM, "ascending"), (RECORDED, "ascending")]
+            ch = ch.take(pa.compute.sort_indices(ch, order + [(f"{OWN}a_{a}", "ascending") for a in attributes]))
+            rec = ch.column(RECORDED).to_numpy() if recorded else None
+            pick = latest_valid(time, ch.column(FROM).to_numpy(), ch.column(TO).to_numpy(), rec)
         else:
             pick = np.full(len(time), -1)
         at_row = pa.array(pick, pa.int64(), mask=pick < 0)
-        columns = [ev.column(c) for c in out_events] + [ch.column(f"_a_{a}").take(at_row) for a in attributes]
+        columns = [ev.column(c) for c in out_events] + [ch.column(f"{OWN}a_{a}").take(at_row) for a in attributes]
         if known_as:
             columns.append(pa.array(np.full(len(time), ch.num_rows > 0)))
         return pa.Table.from_arrays(columns, names=schema.names)
 
     out_events = events.columns
-    found = left.groupBy(entity, "_salt").cogroup(right.groupBy(entity, "_salt")).applyInArrow(find, schema)
+    found = left.groupBy(entity, SALT).cogroup(right.groupBy(entity, SALT)).applyInArrow(find, schema)
     return found.unionByName(rest)

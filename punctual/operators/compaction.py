@@ -33,27 +33,39 @@ FILES_PER_LOT = 50_000
 
 @dataclass(frozen=True)
 class Tiers:
-    """Tier 0 holds files below ``small``; each further tier is ``fan`` times larger; files of ``target`` are done."""
+    """Tier 0 holds files below ``small``, each further tier goes ``fan`` times as far; from half of ``target`` on a
+    file is done. Merges are filled so that outputs leave their tier and are at most one and a half times ``target``."""
 
     small: int = 64 * KB
     fan: int = 8
     target: int = 128 * KB * KB
 
+    @property
+    def done(self) -> int:
+        return self.target // 2
+
     @property
     def levels(self) -> int:
         n, size = 1, self.small
-        while size < self.target:
+        while size < self.done:
             size, n = size * self.fan, n + 1
         return n
 
+    def bound(self, tier: int) -> int:
+        """Sizes of the tier are below this."""
+        return min(self.done, self.small * self.fan**tier)
+
     def limit(self, tier: Column) -> Column:
         """Size that a merge in ``tier`` is filled up to."""
-        return F.least(F.lit(float(self.target)), F.lit(float(self.small)) * F.pow(F.lit(float(self.fan)), tier))
+        out = F.lit(float(self.target))
+        for k in reversed(range(self.levels)):
+            out = F.when(tier == k, float(min(self.target, self.bound(k) * self.fan))).otherwise(out)
+        return out
 
     def of(self, size: Column) -> Column:
         out = F.lit(self.levels)
         for k in reversed(range(self.levels)):
-            out = F.when(size < min(self.target, self.small * self.fan**k), k).otherwise(out)
+            out = F.when(size < self.bound(k), k).otherwise(out)
         return out
 
 
@@ -85,7 +97,8 @@ def plan(files: DataFrame, scope: Sequence[str], cluster: Sequence[str], tiers:
     """(scope, path, n_rows, size_bytes, output, level): the output each file ends in after all levels.
 
     ``output`` is null for a file that stays as it is. Neighbours by ``cluster`` are merged, so outputs cover narrow
-    ranges of it. Each level is one window over what the level before left, per scope, lot and tier.
+    ranges of it. Each level is one window over what the level before left, per scope, lot and tier; a last level
+    merges what the tiers have left over.
     """
     lots = files.groupBy(*scope).agg(F.ceil(F.count("*") / FILES_PER_LOT).cast("int").alias("_lots"))
     on = [F.col(f"f.{c}").eqNullSafe(F.col(f"l.{c}")) for c in scope]
@@ -97,8 +110,11 @@ def plan(files: DataFrame, scope: Sequence[str], cluster: Sequence[str], tiers:
         "_rank": F.row_number().over(W.partitionBy(*scope, "_lot").orderBy(*cluster, "path")),
     })
     group = [*scope, "_lot", "_tier"]
-    for level in range(1, tiers.levels + 1):
-        rows = rows.withColumn("_tier", tiers.of(F.col("_unit_size")))
+    for level in range(1, tiers.levels + 2):
+        tier = tiers.of(F.col("_unit_size"))
+        if level > tiers.levels:
+            tier = F.when(F.col("_unit_size") < tiers.done, tiers.levels - 1).otherwise(tiers.levels)
+        rows = rows.withColumn("_tier", tier)
         open_ = F.col("_tier") < tiers.levels
         # Size before each unit in its tier, in order; every file of a unit sees the same sum since sums run over heads.
         head = F.row_number().over(W.partitionBy(*scope, "_lot", "_unit").orderBy("_rank")) == 1

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from punctual.operators.skew import OWN
 from punctual.session import cut, shared_path, utc_timestamps
 
 BLOCK = 1 << 16
@@ -27,33 +28,34 @@ def _file_id(path) -> object:
     return F.xxhash64(F.regexp_replace(path, "^([a-z0-9]+):/*", "$1:/"))
 
 
+def _keys(identifier: Sequence[str]) -> list[str]:
+    return [f"k{n}" for n in range(len(identifier))]
+
+
 def positions(scan: DataFrame, identifier: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """(identifier, at): delivery order and position of every row; reads no other column."""
-    place = [_file_id(F.col("_metadata.file_path")).alias("file"), F.col("_metadata.row_index").alias("row")]
-    return scan.select(*identifier, F.struct(*order, *place).alias("at"))
+    """(k0, k1, ..., at): identifier, and delivery order with the position of every row; reads no other column."""
+    where = scan.metadataColumn("_metadata")
+    place = [_file_id(where["file_path"]).alias("file"), where["row_index"].alias("row")]
+    when = [F.col(f"`{c}`").alias(f"o{n}") for n, c in enumerate(order)]
+    return scan.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(identifier, _keys(identifier))], F.struct(*when, *place).alias("at"))
 
 
 def repeated(scan: DataFrame, identifier: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """(identifier, winner, copies) of each identifier found on more than one row.
+    """(k0, k1, ..., winner, copies) of each identifier found on more than one row.
 
     The first delivered copy wins. The aggregation is partial in each task, so one identifier on a third of all rows
     costs one row per task.
     """
-    return (
-        positions(scan, identifier, order).groupBy(*identifier)
-        .agg(F.min("at").alias("winner"), F.count("*").alias("copies")).where("copies > 1")
-    )
+    counted = positions(scan, identifier, order).groupBy(*_keys(identifier))
+    return counted.agg(F.min("at").alias("winner"), F.count("*").alias("copies")).where("copies > 1")
 
 
 def deletion_vectors(scan: DataFrame, identifier: Sequence[str], order: Sequence[str]) -> DataFrame:
     """(file, block, rows): the row numbers, within the block, of every copy that isn't the winner."""
-    many = repeated(scan, identifier, order)
-    keys = [F.col(c).alias(f"_k{n}") for n, c in enumerate(identifier)]
-    many = many.select(*keys, "winner")
-    rows = positions(scan, identifier, order).select(*keys, "at")
-    a, b = rows.alias("a"), many.alias("b")
-    on = [F.col(f"a._k{n}").eqNullSafe(F.col(f"b._k{n}")) for n in range(len(identifier))]
-    lost = a.join(b, on).where("a.at <> b.winner").select(F.col("a.at.file").alias("file"), F.col("a.at.row").alias("row"))
+    many = repeated(scan, identifier, order).alias("b")
+    rows = positions(scan, identifier, order).alias("a")
+    on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in _keys(identifier)]
+    lost = rows.join(many, on).where("a.at <> b.winner").select(F.col("a.at.file").alias("file"), F.col("a.at.row").alias("row"))
     return (
         lost.groupBy("file", F.floor(F.col("row") / BLOCK).alias("block"))
         .agg(F.sort_array(F.collect_list((F.col("row") % BLOCK).cast("int"))).alias("rows"))
@@ -94,10 +96,11 @@ def exactly_once(spark: SparkSession, paths: str | Sequence[str], identifier: Se
         if len(groups) > 1:
             mine = spark.createDataFrame([(p,) for p in group], "path string").select(_file_id(F.col("path")).alias("file"))
             gone = gone.join(F.broadcast(mine), "file", "left_semi")
-        gone = F.broadcast(gone.select(F.col("file").alias("_file"), F.col("row").alias("_row")))
-        tagged = read.select("*", _file_id(F.col("_metadata.file_path")).alias("_at_file"), F.col("_metadata.row_index").alias("_at_row"))
-        kept = tagged.join(gone, (F.col("_at_file") == F.col("_file")) & (F.col("_at_row") == F.col("_row")), "left_anti")
-        parts.append(kept.select(*names))
+        gone = F.broadcast(gone.select(F.col("file").alias(f"{OWN}f"), F.col("row").alias(f"{OWN}r")))
+        where = read.metadataColumn("_metadata")
+        tagged = read.select("*", _file_id(where["file_path"]).alias(f"{OWN}file"), where["row_index"].alias(f"{OWN}row"))
+        kept = tagged.join(gone, (F.col(f"{OWN}file") == F.col(f"{OWN}f")) & (F.col(f"{OWN}row") == F.col(f"{OWN}r")), "left_anti")
+        parts.append(kept.select(*[f"`{c}`" for c in names]))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -106,4 +109,4 @@ def exactly_once(spark: SparkSession, paths: str | Sequence[str], identifier: Se
 
 def repeated_identifiers(scan: DataFrame, identifier: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The identifiers on more than one row, each once, computed once and kept in the shared folder."""
-    return cut(repeated(scan, identifier, order).select(*identifier))
+    return cut(repeated(scan, identifier, order).select(*[F.col(k).alias(c) for k, c in zip(_keys(identifier), identifier)]))

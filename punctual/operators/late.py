@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctual.operators.skew import Salts
+from punctual.operators.skew import SALT, Salts
 
 ON_TIME, CORRECTS, CUT = 0, 1, 2
 OUTCOMES = ("on_time", "corrects", "cut")
@@ -142,7 +142,7 @@ class LateAware:
         )
 
     def _parts(self) -> DataFrame:
-        return Salts(self.events, ["_block"], ROWS_PER_PART).spread(self.events).groupBy("_block", "_salt")
+        return Salts(self.events, ["_block"], ROWS_PER_PART).spread(self.events).groupBy("_block", SALT)
 
     def periods(self) -> DataFrame:
         """(period_s, n_events, n_corrections, then sum and non-null count of each summed column)."""

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from punctual.session import cut
 
+#: Columns that operators add for themselves begin with this, so they don't clash with a table's own.
+OWN = "__punctual_"
+SALT, PARTS = f"{OWN}salt", f"{OWN}parts"
 #: Hot keys up to this number are broadcast (a few MB); more are joined by a shuffle.
 MAX_BROADCAST_KEYS = 100_000
 
@@ -22,23 +25,23 @@ class Salts:
     def __init__(self, df: DataFrame, keys: Sequence[str], rows_per_part: int) -> None:
         self.keys = list(keys)
         hot = df.groupBy(*keys).count().where(F.col("count") > rows_per_part)
-        self.hot = cut(hot.select(*keys, F.ceil(F.col("count") / rows_per_part).cast("int").alias("_parts")))
+        self.hot = cut(hot.select(*keys, F.ceil(F.col("count") / rows_per_part).cast("int").alias(PARTS)))
         self.n = self.hot.count()
 
     def _joined(self, df: DataFrame) -> DataFrame:
         if not self.n:
-            return df.withColumn("_parts", F.lit(1))
+            return df.withColumn(PARTS, F.lit(1))
         hot = F.broadcast(self.hot) if self.n <= MAX_BROADCAST_KEYS else self.hot
-        hot = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in self.keys], "_parts")
-        on = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in self.keys]
-        joined = df.join(hot, on, "left").drop(*[f"_hot_{k}" for k in self.keys])
-        return joined.withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+        hot = hot.select(*[F.col(k).alias(f"{OWN}hot_{k}") for k in self.keys], PARTS)
+        on = [F.col(k).eqNullSafe(F.col(f"{OWN}hot_{k}")) for k in self.keys]
+        joined = df.join(hot, on, "left").drop(*[f"{OWN}hot_{k}" for k in self.keys])
+        return joined.withColumn(PARTS, F.coalesce(PARTS, F.lit(1)))
 
     def spread(self, df: DataFrame) -> DataFrame:
-        """Rows with ``_salt``; rows of a hot key go round its parts in turn, equal rows too."""
-        return self._joined(df).withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.col("_parts")).cast("int")).drop("_parts")
+        """Rows with a ``SALT`` column; rows of a hot key go round its parts in turn, equal rows too."""
+        return self._joined(df).withColumn(SALT, F.pmod(F.monotonically_increasing_id(), F.col(PARTS)).cast("int")).drop(PARTS)
 
     def copies(self, df: DataFrame) -> DataFrame:
         """Rows once for each part of their key."""
-        parts = F.sequence(F.lit(0), F.col("_parts") - 1)
-        return self._joined(df).withColumn("_salt", F.explode(parts)).drop("_parts")
+        parts = F.sequence(F.lit(0), F.col(PARTS) - 1)
+        return self._joined(df).withColumn(SALT, F.explode(parts)).drop(PARTS)

@@ -44,7 +44,8 @@ def hours(spark: SparkSession, answer: dict, until: datetime | None = None) -> D
     Variables that the answer lacks are null.
     """
     raw = spark.createDataFrame([(json.dumps(answer),)], "answer string").select(F.from_json("answer", ANSWER).alias("a"))
-    one = raw.select(F.explode(F.arrays_zip("a.hourly.time", *[f"a.hourly.{v}" for v in VARIABLES])).alias("h")).select("h.*")
+    at_hour = lambda v: F.get(f"a.hourly.{v}", F.col("n")).alias(v)
+    one = raw.select("a", F.posexplode("a.hourly.time").alias("n", "time")).select("time", *map(at_hour, VARIABLES))
     at = F.try_to_timestamp("time", F.lit("yyyy-MM-dd'T'HH:mm"))
     rows = one.select(
         at.alias("hour_utc"), local_day(at).alias("local_date"), F.hour(F.from_utc_timestamp(at, LOCAL_ZONE)).alias("local_hour"),
