@@ -222,6 +222,16 @@ class EditableText:
         return [i for t in self.tables for i in t.ids()]
 
 
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
+
+
+def _encoder_of_process(name: str, folder: str, ranks: dict[bytes, int]) -> Encoder:
+    """The encoder that tasks of one Python process share, with the words that earlier tasks have met."""
+    if (name, folder) not in _ENCODERS:
+        _ENCODERS[name, folder] = Encoder(Vocabulary(ranks))
+    return _ENCODERS[name, folder]
+
+
 def encode_corpus(
     texts: DataFrame, key: str = "doc_id", column: str = "text", name: str = "byte_bpe_50k", folder: str = TOKENIZERS,
 ) -> DataFrame:
@@ -229,7 +239,7 @@ def encode_corpus(
     shared = texts.sparkSession.sparkContext.broadcast(Vocabulary.load(name, folder).ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(shared.value))
+        encoder = _encoder_of_process(name, folder, shared.value)
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)
