@@ -1,8 +1,9 @@
-"""A table store on plain Parquet with whole-version commits.
+"""A table store on plain Parquet with atomic commits.
 
-A table is a folder of version folders and a pointer file that names the version in force. A writer fills a new
-version folder and then replaces the pointer in one rename, so a reader sees either the old rows or the new ones,
-and a writer that dies leaves the table as it was. Appends add files to the version in force.
+A table is a set of folders and a pointer file that lists those in force: one folder per partition value for a
+partitioned table, one folder otherwise. A writer fills new folders and then replaces the pointer in one rename, so
+a reader sees either the old rows or the new ones, and a writer that dies leaves the table as it was. Replacing a
+range of partition values writes only those partitions; the others' folders stay in force untouched.
 
 The pointer and folders are handled through Hadoop's FileSystem, so any storage that Spark can write will do.
 """
@@ -14,6 +15,8 @@ import re
 import time
 import uuid
 from collections.abc import Callable, Sequence
+from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +29,12 @@ class TableMissing(LookupError):
     """The table has no version yet."""
 
 
+def _partition_value(kind: T.DataType) -> Callable[[str], object]:
+    """Reads a partition's value from its folder's name; None for the null partition."""
+    read = date.fromisoformat if isinstance(kind, T.DateType) else int if isinstance(kind, T.IntegralType) else unquote
+    return lambda text: None if text == "__HIVE_DEFAULT_PARTITION__" else read(text)
+
+
 class Lake:
     """Named tables below ``root``."""
 
@@ -75,22 +84,31 @@ class Lake:
     def exists(self, table: str) -> bool:
         return self._pointer(table) is not None
 
-    def location(self, table: str) -> str:
-        """Folder of the version in force."""
+    def _in_force(self, table: str) -> dict:
         now = self._pointer(table)
         if now is None:
             raise TableMissing(table)
-        return f"{self._place(table)}/{now['version']}"
+        return now
+
+    def location(self, table: str) -> str:
+        """The folder of a table without partitions."""
+        (only,) = self._in_force(table)["folders"]
+        return f"{self._place(table)}/{only}"
 
     def schema(self, table: str) -> T.StructType:
-        now = self._pointer(table)
-        if now is None:
-            raise TableMissing(table)
-        return T.StructType.fromJson(now["schema"])
+        return T.StructType.fromJson(self._in_force(table)["schema"])
 
     def read(self, table: str) -> DataFrame:
-        """The rows of the version in force when this is called."""
-        return self.spark.read.schema(self.schema(table)).parquet(self.location(table))
+        """The rows in force when this is called."""
+        now = self._in_force(table)
+        schema = T.StructType.fromJson(now["schema"])
+        if not now["partition_by"]:
+            return self.spark.read.schema(schema).parquet(self.location(table))
+        if not now["folders"]:
+            return self.spark.createDataFrame([], schema)
+        place = self._place(table)
+        rows = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("v", T.StringType())])).option("basePath", place)
+        return rows.parquet(*[f"{place}/{f}" for f in now["folders"]]).select(*schema.fieldNames())
 
     def stream(self, table: str) -> DataFrame:
         """New rows of an append-only table as a stream."""
@@ -103,48 +121,67 @@ class Lake:
 
     # ------------------------------------------------------------ writing
 
-    def _commit(self, table: str, version: str, schema: T.StructType, done: str, **figures: int) -> None:
+    def _commit(self, table: str, folders: Sequence[str], schema: T.StructType, partition_by: Sequence[str], done: str, **figures: int) -> None:
         before = self._pointer(table)
         history = (before or {}).get("history", [])[-50:]
-        entry = {"version": version, "at": time.time(), "operation": done, **figures}
-        pointer = {"version": version, "schema": json.loads(schema.json()), "history": [*history, entry]}
+        entry = {"at": time.time(), "operation": done, **figures}
+        retired = [f for f in (before or {}).get("folders", []) if f not in folders]
+        pointer = {
+            "folders": list(folders), "partition_by": list(partition_by), "schema": json.loads(schema.json()), "retired": retired,
+            "history": [*history, entry],
+        }
         self._replace_text(f"{self._place(table)}/_current", json.dumps(pointer))
+        # Queries that began before the last commit may still read what it retired; what the one before retired goes.
+        for f in (before or {}).get("retired", []):
+            self._fs().delete(self._path(f"{self._place(table)}/{f}"), True)
 
-    def _write(self, rows: DataFrame, table: str, partition_by: Sequence[str]) -> str:
+    def _write(self, rows: DataFrame, table: str, partition_by: Sequence[str]) -> list[str]:
+        """Writes rows to a new folder; returns the folders to put in force."""
         version = f"v={uuid.uuid4().hex}"
-        writer = rows.write
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self._place(table)}/{version}")
-        return version
+        where = f"{self._place(table)}/{version}"
+        if not partition_by:
+            rows.write.parquet(where)
+            return [version]
+        # Rows of a partition value come together, so files are few; a value with very many rows is split by AQE.
+        rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(where)
+        found = [version]
+        for _ in partition_by:
+            found = [f"{f}/{s.getPath().getName()}" for f in found for s in self._fs().listStatus(self._path(f"{self._place(table)}/{f}")) if s.isDirectory()]
+        return found
 
     def overwrite(self, table: str, rows: DataFrame, partition_by: Sequence[str] = (), done: str = "overwrite", **figures: int) -> None:
-        """A new version made of ``rows``, which may read the old one; the old folder is deleted after the switch."""
-        old = self._pointer(table)
-        self._commit(table, self._write(rows, table, partition_by), rows.schema, done, **figures)
-        if old:
-            self._fs().delete(self._path(f"{self._place(table)}/{old['version']}"), True)
+        """``rows``, which may read the table, in place of all rows."""
+        self._commit(table, self._write(rows, table, partition_by), rows.schema, partition_by, done, **figures)
 
     def create_like(self, table: str, rows: DataFrame) -> bool:
         """An empty table with the columns of ``rows``; False if the table exists."""
         if self.exists(table):
             return False
         empty = self.spark.createDataFrame([], rows.schema)
-        self._commit(table, self._write(empty, table, ()), rows.schema, "create")
+        self._commit(table, self._write(empty, table, ()), rows.schema, (), "create")
         return True
 
+    def widen(self, table: str, schema: T.StructType) -> None:
+        """Gives the table a schema that has more fields."""
+        now = self._in_force(table)
+        self._commit(table, now["folders"], schema, now["partition_by"], "widen")
+
     def append(self, table: str, rows: DataFrame, partition_by: Sequence[str] = ()) -> None:
         """Adds rows; columns new to the table are added to it, missing ones become null."""
         if not self.exists(table):
-            self.create_like(table, rows)
-        old = self.schema(table)
-        new = [f for f in rows.schema.fields if f.name not in old.fieldNames()]
-        schema = T.StructType([*old.fields, *[T.StructField(f.name, f.dataType) for f in new]])
+            return self.overwrite(table, rows, partition_by, done="append")
+        now = self._in_force(table)
+        old = T.StructType.fromJson(now["schema"])
+        new = [T.StructField(f.name, f.dataType) for f in rows.schema.fields if f.name not in old.fieldNames()]
+        schema = T.StructType([*old.fields, *new])
         shaped = rows.select(
             *[F.col(f"`{f.name}`").cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
         )
-        writer = shaped.write.mode("append")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self.location(table))
-        if new:
-            self._commit(table, self._pointer(table)["version"], schema, "append")
+        if now["partition_by"]:
+            added = self._write(shaped, table, now["partition_by"])
+            return self._commit(table, [*now["folders"], *added], schema, now["partition_by"], "append")
+        shaped.write.mode("append").parquet(self.location(table))
+        return self.widen(table, schema) if new else None
 
     def drop(self, table: str) -> None:
         self._fs().delete(self._path(self._place(table)), True)
@@ -194,27 +231,44 @@ class Lake:
         self.overwrite(table, rows, partition_by, done="replace")
 
     def replace_range(self, table: str, rows: DataFrame, column: str, low, high, partition_by: Sequence[str] = ()) -> None:
-        """``rows`` take the place of all rows with ``low <= column <= high``."""
-        self.replace_where(table, rows, F.col(column).between(F.lit(low), F.lit(high)), partition_by)
+        """``rows`` take the place of all rows with ``low <= column <= high``.
+
+        For a table partitioned by ``column`` only the partitions in the range are written; a partition in the range
+        that gets no row is gone.
+        """
+        inside = F.col(column).between(F.lit(low), F.lit(high))
+        now = self._pointer(table)
+        if not now or now["partition_by"] != [column]:
+            return self.replace_where(table, rows, inside, partition_by)
+        if not rows.where(~F.coalesce(inside, F.lit(False))).isEmpty():
+            raise ValueError(f"{table}: a row lies outside the part to be replaced")
+        schema = T.StructType.fromJson(now["schema"])
+        value = _partition_value(schema[column].dataType)
+        held = [(f, value(f.rsplit("=", 1)[1])) for f in now["folders"]]
+        stay = [f for f, v in held if v is None or not low <= v <= high]
+        new = [T.StructField(f.name, f.dataType) for f in rows.schema.fields if f.name not in schema.fieldNames()]
+        self._commit(table, [*stay, *self._write(rows, table, [column])], T.StructType([*schema.fields, *new]), [column], "replace")
+        return None
 
     # ------------------------------------------------------------ layout
 
     def cluster(self, table: str, keys: Sequence[str], target_bytes: int = 128 << 20) -> dict:
         """Rewrites the table in ranges of ``keys``, in files of about ``target_bytes``; rows stay as they are."""
-        before = self.detail(table)
+        before, parts = self.detail(table), self._in_force(table)["partition_by"]
         files = max(1, -(-before["size_bytes"] // target_bytes))
-        rows = self.read(table)
-        self.overwrite(table, rows.repartitionByRange(int(files), *keys).sortWithinPartitions(*keys), done="cluster")
+        rows = self.read(table).repartitionByRange(int(files), *keys).sortWithinPartitions(*keys)
+        self.overwrite(table, rows, parts, done="cluster")
         return {"before": before, "after": self.detail(table)}
 
     def detail(self, table: str) -> dict:
         """Files and bytes of the version in force."""
-        files = self._fs().listFiles(self._path(self.location(table)), True)
         count = size = 0
-        while files.hasNext():
-            f = files.next()
-            if f.getPath().getName().endswith(".parquet"):
-                count, size = count + 1, size + f.getLen()
+        for folder in self._in_force(table)["folders"]:
+            files = self._fs().listFiles(self._path(f"{self._place(table)}/{folder}"), True)
+            while files.hasNext():
+                f = files.next()
+                if f.getPath().getName().endswith(".parquet"):
+                    count, size = count + 1, size + f.getLen()
         return {"table": table, "num_files": count, "size_bytes": size}
 
     def history(self, table: str) -> list[dict]:

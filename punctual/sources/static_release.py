@@ -50,7 +50,7 @@ def load(lake, archive: Path, folder: Path) -> dict[str, int]:
             "*", F.lit(version).alias("feed_version"), F.col("_metadata.file_path").alias("_source_file"), F.current_timestamp().alias("_loaded_at")
         )
         table = f"static_{path.stem}"
-        lake.replace_where(table, rows, F.col("feed_version") == version)
+        lake.replace_range(table, rows, "feed_version", version, version, ["feed_version"])
         done[table] = lake.read(table).where(F.col("feed_version") == version).count()
     return done
 
@@ -72,5 +72,5 @@ def build_stop_times(lake, version: str) -> int:
     if not _VERSION.fullmatch(version):
         raise ValueError(f"not a release name: {version!r}")
     here = F.col("feed_version") == version
-    lake.replace_where("silver_stop_times", stop_times(lake.read("static_stop_times").where(here)), here, ["feed_version"])
+    lake.replace_range("silver_stop_times", stop_times(lake.read("static_stop_times").where(here)), "feed_version", version, version, ["feed_version"])
     return lake.read("silver_stop_times").where(here).count()

@@ -117,7 +117,7 @@ def ingest(lake: Lake, feed: str, landing: str) -> int:
     table = f"bronze_{feed}"
     lake.create_like(table, rows)
     if set(rows.columns) != set(lake.schema(table).fieldNames()) or rows.schema["entity"].dataType != lake.schema(table)["entity"].dataType:
-        lake._commit(table, lake._pointer(table)["version"], rows.schema, "widen")
+        lake.widen(table, rows.schema)
     query = (
         rows.writeStream.format("parquet").option("path", lake.location(table)).option("checkpointLocation", checkpoint(lake, table))
         .trigger(availableNow=True).start()

@@ -75,3 +75,23 @@ def test_failed_write_leaves_the_table(spark, lake):
     with pytest.raises(Exception):
         lake.overwrite("t", lake.read("t").withColumn("n", F.raise_error(F.lit("broken")).cast("int")))
     assert got(lake) == [("a", 1)]
+
+
+def test_partitions_out_of_range_stay_untouched(spark, lake):
+    from datetime import date
+
+    day = lambda n: date(2026, 10, n)
+    make = lambda *given: spark.createDataFrame(list(given), "k string, day date")
+    lake.overwrite("t", make(("a", day(1)), ("b", day(2)), ("c", day(3)), ("d", None)), ["day"])
+    before = set(lake._pointer("t")["folders"])
+    lake.replace_range("t", make(("B", day(2)), ("B2", day(2))), "day", day(2), day(3), ["day"])
+    assert got(lake) == sorted([("B", day(2)), ("B2", day(2)), ("a", day(1)), ("d", None)], key=repr)  # day 3 has no row any more
+    assert len(before & set(lake._pointer("t")["folders"])) == 2
+    with pytest.raises(ValueError):
+        lake.replace_range("t", make(("x", day(9))), "day", day(2), day(3), ["day"])
+    lake.append("t", make(("e", day(1))))
+    lake.replace_range("t", make(("z", day(1))).limit(0), "day", day(1), day(31), ["day"])
+    assert got(lake) == [("d", None)]
+    lake.replace_range("t", make(("n", day(5))), "day", day(5), day(5), ["day"])
+    assert got(lake) == sorted([("d", None), ("n", day(5))], key=repr) and lake.read("t").columns == ["k", "day"]
+    assert lake.detail("t")["num_files"] == 2
