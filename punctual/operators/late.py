@@ -131,6 +131,8 @@ class LateAware:
     ) -> None:
         self.width, self.rule, self.sums, self.every = width, rule, list(sums), every
         self.identifier = list(identifier)
+        # Repeats counted too: a block's parts may be smaller than asked, and the identifiers needn't be shuffled to count.
+        self.salts = Salts(rows.select(F.floor(event_s.cast("long") / block).alias("_block")), ["_block"], ROWS_PER_PART)
         narrow = rows.select(
             *identifier, F.col(loaded).alias("_loaded"), event_s.cast("long").alias("_event"),
             *[c.cast("double").alias(f"_s_{n}") for n, c in sums.items()],
@@ -142,7 +144,7 @@ class LateAware:
         )
 
     def _parts(self) -> DataFrame:
-        return Salts(self.events, ["_block"], ROWS_PER_PART).spread(self.events).groupBy("_block", SALT)
+        return self.salts.spread(self.events).groupBy("_block", SALT)
 
     def periods(self) -> DataFrame:
         """(period_s, n_events, n_corrections, then sum and non-null count of each summed column)."""
