@@ -62,3 +62,12 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and read back from the shared folder; survives a lost executor."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many parts as the cluster has cores, for stages that compute much per row.
+
+    Tables of any size that matters have more parts and stay as they are; only a few files are dealt out anew.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
