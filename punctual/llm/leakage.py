@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from punctual.llm.lookalike import Rewriter
 from punctual.llm.spoken import spoken_words
+from punctual.session import spread
 
 SEED_WORDS = 5
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -230,7 +231,7 @@ def find_leaks(
                 )
 
         item_type = pa.array([block[0][0]]).type
-        part = documents.select(key, column).mapInArrow(run, schema)
+        part = spread(documents.select(key, column)).mapInArrow(run, schema)
         out = part if out is None else out.union(part)
     if out is None:
         out = spark.createDataFrame([], schema)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctual.session import cut
+from punctual.session import cut, spread
 
 # Letters of different scripts with the same shape, the Latin letter first.
 SAME_SHAPE = [
@@ -221,7 +221,7 @@ def normalize_texts(texts: DataFrame, rewriter: Rewriter, key: str = "doc_id", c
         return _batched(batches, one)
 
     kind = texts.schema[key].dataType.simpleString()
-    return texts.select(key, column).mapInArrow(run, f"key {kind}, canonical string").select(F.col("key").alias(key), "canonical")
+    return spread(texts.select(key, column)).mapInArrow(run, f"key {kind}, canonical string").select(F.col("key").alias(key), "canonical")
 
 
 def look_keys(texts: DataFrame, rewriter: Rewriter, key: str = "doc_id", column: str = "text") -> DataFrame:
@@ -248,7 +248,7 @@ def look_keys(texts: DataFrame, rewriter: Rewriter, key: str = "doc_id", column:
         return _batched(batches, one)
 
     kind = texts.schema[key].dataType.simpleString()
-    return texts.select(key, column).mapInArrow(run, f"key {kind}, look binary, form binary").select(F.col("key").alias(key), "look", "form")
+    return spread(texts.select(key, column)).mapInArrow(run, f"key {kind}, look binary, form binary").select(F.col("key").alias(key), "look", "form")
 
 
 def alike_pairs(texts: DataFrame, rewriter: Rewriter | None = None, key: str = "doc_id", column: str = "text") -> DataFrame:

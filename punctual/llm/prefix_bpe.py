@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from punctual.session import spread
+
 TOKENIZERS = "/opt/tokenizers"
 # Fixed value: the pattern that splits text into words for this vocabulary.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -248,4 +250,4 @@ def encode_corpus(
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], ["key", "ids"])
 
     kind = texts.schema[key].dataType.simpleString()
-    return texts.select(key, column).mapInArrow(run, f"key {kind}, ids array<int>").select(F.col("key").alias(key), "ids")
+    return spread(texts.select(key, column)).mapInArrow(run, f"key {kind}, ids array<int>").select(F.col("key").alias(key), "ids")
