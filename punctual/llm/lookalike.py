@@ -189,7 +189,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def unit_frequencies(texts: DataFrame, column: str = "text") -> DataFrame:
     """(unit, n) of every code point and combining cluster: counted per task, then one small shuffle."""
-    return texts.select(column).mapInArrow(_count_batches, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+    return spread(texts.select(column)).mapInArrow(_count_batches, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
 
 def fit_rewriter(texts: DataFrame, column: str = "text") -> Rewriter:
