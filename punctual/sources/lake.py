@@ -240,15 +240,28 @@ class Lake:
         now = self._pointer(table)
         if not now or now["partition_by"] != [column]:
             return self.replace_where(table, rows, inside, partition_by)
+        self._replace_folders(table, rows, column, inside, lambda v: low <= v <= high)
+        return None
+
+    def replace_partitions(self, table: str, rows: DataFrame, column: str, values: Sequence) -> None:
+        """``rows`` take the place of the partitions with the given values of ``column``; others aren't touched."""
+        if not self.exists(table):
+            return self.overwrite(table, rows, [column], done="replace")
+        if self._in_force(table)["partition_by"] != [column]:
+            raise ValueError(f"{table} isn't partitioned by {column}")
+        chosen = set(values)
+        return self._replace_folders(table, rows, column, F.col(column).isin(list(chosen)), chosen.__contains__)
+
+    def _replace_folders(self, table: str, rows: DataFrame, column: str, inside: Column, replaced: Callable[[object], bool]) -> None:
         if not rows.where(~F.coalesce(inside, F.lit(False))).isEmpty():
             raise ValueError(f"{table}: a row lies outside the part to be replaced")
+        now = self._in_force(table)
         schema = T.StructType.fromJson(now["schema"])
         value = _partition_value(schema[column].dataType)
         held = [(f, value(f.rsplit("=", 1)[1])) for f in now["folders"]]
-        stay = [f for f, v in held if v is None or not low <= v <= high]
+        stay = [f for f, v in held if v is None or not replaced(v)]
         new = [T.StructField(f.name, f.dataType) for f in rows.schema.fields if f.name not in schema.fieldNames()]
         self._commit(table, [*stay, *self._write(rows, table, [column])], T.StructType([*schema.fields, *new]), [column], "replace")
-        return None
 
     # ------------------------------------------------------------ layout
 
