@@ -254,13 +254,16 @@ def look_keys(texts: DataFrame, rewriter: Rewriter, key: str = "doc_id", column:
 def alike_pairs(texts: DataFrame, rewriter: Rewriter | None = None, key: str = "doc_id", column: str = "text") -> DataFrame:
     """Pairs (key_1 < key_2) of texts that look the same but are different strings.
 
-    Exact copies are never paired with each other: classes with one written form are dropped by a partial
-    aggregation before the join, so a hot group of copies costs one row per task.
+    Written forms are paired first, each once, and rows are joined to the paired forms, so every joined row is a row
+    of the result: however many exact copies a class holds, they never meet one another. Classes with one written
+    form are dropped before by a partial aggregation.
     """
     rewriter = rewriter or fit_rewriter(texts, column)
-    keys = cut(look_keys(texts, rewriter, key, column))
+    keys = cut(look_keys(texts, rewriter, key, column).select("look", "form", F.col(key).alias("id")))
     varied = keys.groupBy("look").agg(F.min("form").alias("lo"), F.max("form").alias("hi")).where("lo <> hi").select("look")
     rows = keys.join(varied, "look", "left_semi")
-    a = rows.select("look", F.col("form").alias("f1"), F.col(key).alias(f"{key}_1"))
-    b = rows.select("look", F.col("form").alias("f2"), F.col(key).alias(f"{key}_2"))
-    return a.join(b, "look").where(F.col(f"{key}_1") < F.col(f"{key}_2")).where("f1 <> f2").select(f"{key}_1", f"{key}_2").distinct()
+    forms = rows.select("look", "form").distinct()
+    paired = forms.withColumnRenamed("form", "f1").join(forms.withColumnRenamed("form", "f2"), "look").where("f1 < f2").select("f1", "f2")
+    one, two = rows.select(F.col("form").alias("f1"), F.col("id").alias("a")), rows.select(F.col("form").alias("f2"), F.col("id").alias("b"))
+    found = paired.join(one, "f1").join(two, "f2").where("a <> b")
+    return found.select(F.least("a", "b").alias(f"{key}_1"), F.greatest("a", "b").alias(f"{key}_2")).distinct()
