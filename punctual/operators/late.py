@@ -27,6 +27,7 @@ ON_TIME, CORRECTS, CUT = 0, 1, 2
 OUTCOMES = ("on_time", "corrects", "cut")
 EVERY = 256  # events between two checkpoints
 ROWS_PER_PART = 200_000
+REPLAYS = 64  # replays of a part at most; loads that follow one another are taken together to keep to it
 
 
 @dataclass
@@ -107,12 +108,15 @@ def replay(t: pa.Table, width: int, every: int, rule: Lateness, sums: Sequence[s
     on_time = np.flatnonzero(outcome == ON_TIME)
     if len(on_time):
         fold.apply(times[on_time], values[on_time])
-    # Late rows come in the loads that brought them, one replay per load.
+    # Late rows come in the loads that brought them, in order; a replay takes whole loads.
     rows = np.flatnonzero(outcome == CORRECTS)
     loads = t.column("_loaded").cast(pa.int64()).to_numpy()[rows]
-    rows = rows[np.argsort(loads, kind="stable")]
-    loads = np.sort(loads)
-    for batch in np.split(rows, np.flatnonzero(np.diff(loads)) + 1) if len(rows) else []:
+    order = np.argsort(loads, kind="stable")
+    rows, loads = rows[order], loads[order]
+    begins = np.flatnonzero(np.r_[len(loads) > 0, np.diff(loads) != 0])
+    lot = begins // max(1, -(-len(rows) // REPLAYS))
+    begins = begins[np.r_[True, lot[1:] != lot[:-1]]] if len(begins) else begins
+    for batch in np.split(rows, begins[1:]) if len(rows) else []:
         for p in fold.apply(times[batch], values[batch]):
             revisions[p] = revisions.get(p, 0) + 1
     return fold, outcome, revisions
