@@ -213,3 +213,40 @@ def test_overlap(spark):
     a = spark.createDataFrame([("1", 1), ("1", 1), ("2", 1), (None, 1)], "v string, t int")
     b = spark.createDataFrame([("1", 1), ("3", 1), (None, 1)], "v string, t int")
     assert tuple(snapshot.overlap(a, b, ["v", "t"]).first()) == (2, 1, 1)
+
+
+def same(a, b):
+    return sorted(a.columns) == sorted(b.columns) and sorted(map(str, (tuple(r[c] for c in a.columns) for r in a.collect()))) == sorted(
+        map(str, (tuple(r[c] for c in a.columns) for r in b.collect()))
+    )
+
+
+def test_sql_texts_agree_with_the_dataframes(spark, full_lake):
+    from punctual.plans import sql_text
+
+    lake = full_lake
+    one = spark.range(3).select(F.lit(datetime(2026, 10, 1, 12)).alias("_ingested_at"))
+    for t in ("bronze_vehicle_positions", "bronze_trip_updates", "silver_vehicle_positions", "silver_trip_updates"):
+        lake.overwrite(t, one)
+    lake.overwrite("silver_quarantine", spark.createDataFrame([("trip_updates", datetime(2026, 10, 1, 12))], "feed string, _quarantined_at timestamp"))
+    lake.overwrite("dq_results", spark.createDataFrame([("r1", "c", "t", "critical", 1, 9, True), ("r3", "c", "t", "critical", 2, 9, False)], "run_id string, check_name string, table_name string, severity string, failed long, total long, passed boolean"))
+    hours = spark.createDataFrame([(DAY, "Thu", "070", 8, 3, 2, 10.0, True), (DAY, "Thu", "070", 12, 1, 1, 5.0, False)], "service_date date, day_of_week string, route_id string, hour_local int, departures int, on_time int, avg_delay_s double, is_wet boolean")
+    lake.overwrite("gold_route_hour_weather", hours)
+    lake.view("ops_run_log", "dq_results", "silver_quarantine", "gold_timepoint_departures", "gold_headways", "dim_routes", "dim_stops", "gold_route_hour_weather", *[f"{a}_{b}" for a in ("bronze", "silver") for b in metrics.FEED_NAMES])
+    for window in ((None, None), ("2026-10-01", "2026-10-02")):
+        for name in metrics.METRICS:
+            assert same(metrics.metric(lake, name, *window), spark.sql(sql_text.metric(name, *window))), (name, window)
+    found, skipped = datasets.build(lake)
+    assert not skipped
+    for name, rows in found.items():
+        assert same(rows, spark.sql(sql_text.dataset(name))), name
+    for t in ("silver_vehicle_positions", "silver_trip_updates"):
+        lake.drop(t)
+    for label in ("before", "after"):
+        benchmarks.measure(lake, label, 1)
+    lake.view("ops_benchmarks")
+    assert same(benchmarks.compared(lake.read("ops_benchmarks")), spark.sql(sql_text.comparison()))
+    assert sql_text.metrics_file("2026-10-02", "2026-10-08", "a.b.").count("a.b.ops_run_log") >= 6
+    for bad in (lambda: sql_text.metric("freshness", "2026-10-01' or 1=1"), lambda: sql_text.dataset("daily", "x; drop"), lambda: sql_text.comparison("a'b")):
+        with pytest.raises(ValueError):
+            bad()
