@@ -168,3 +168,21 @@ def download(session: Session, url: str, api_key: str, folder: Path, version_of:
     target = folder / f"{version_of(part)}.zip"
     os.replace(part, target)
     return target
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Polls feeds that answer in JSON, as the environment says."""
+    import argparse
+
+    from punctual.sources.web import WebSession
+
+    p = argparse.ArgumentParser(description="Polls the feeds and lands their snapshots.")
+    p.add_argument("--polls", type=int, default=1)
+    args = p.parse_args(argv)
+    done = poll(WebSession(), Settings.from_environment(), json.loads, args.polls)
+    print(json.dumps(done))
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.functions.scalars import local_day
-from punctual.plans.datasets import route_hour_weather
+from punctual.plans.views import publish
 from punctual.session import LOCAL_ZONE
 
 # The service, the place, the variables asked for, and from how much precipitation an hour is wet.
@@ -56,12 +56,11 @@ def hours(spark: SparkSession, answer: dict, until: datetime | None = None) -> D
 
 
 def load(lake, session: Any, now: datetime) -> dict[str, int]:
-    """Fetches the window around ``now`` (UTC), keeps past hours by hour; the joined view is published if marts exist."""
+    """Fetches the window around ``now`` (UTC), keeps past hours by hour; views are published anew."""
     rows = hours(lake.spark, fetch(session, *window(now.date())), now).persist()
     n = rows.count()
     if n:
         lake.upsert("silver_weather_hourly", rows, ["hour_utc"])
     rows.unpersist()
-    if lake.exists("gold_route_hour_performance") and lake.exists("silver_weather_hourly"):
-        route_hour_weather(lake.read("gold_route_hour_performance"), lake.read("silver_weather_hourly")).createOrReplaceTempView("gold_route_hour_weather")
+    publish(lake)
     return {"hours": n}

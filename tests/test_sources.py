@@ -135,3 +135,50 @@ def test_snapshot_fetch(tmp_path):
 def test_entity_kinds(spark):
     lines = spark.createDataFrame([(("1", "x", None),), (("2", None, "y"),), (("3", None, None),)], "entity struct<id: string, vehicle: string, trip_update: string>")
     assert {r.kind: r.n for r in snapshot.entity_kinds(lines).collect()} == {"vehicle": 1, "trip_update": 1, "other": 1}
+
+
+def test_web_session():
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    from punctual.sources.web import WebSession
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            code = 200 if "a=1" in self.path and self.headers["api_key"] == "k" else 404
+            self.send_response(code)
+            self.end_headers()
+            self.wfile.write(b'{"x": 1}')
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        url = f"http://127.0.0.1:{server.server_port}/f"
+        ok = WebSession().get(url, headers={"api_key": "k"}, params={"a": 1})
+        assert (ok.status_code, ok.json()) == (200, {"x": 1})
+        bad = WebSession().get(url)
+        assert bad.status_code == 404
+        with pytest.raises(RuntimeError):
+            bad.raise_for_status()
+        with pytest.raises(feed_api.Refused):
+            feed_api.fetch(WebSession(), url, "wrong")
+    finally:
+        server.shutdown()
+        server.server_close()
+    with pytest.raises(OSError):
+        WebSession().get(url, timeout=1)
+
+
+def test_views(spark, lake):
+    from punctual.plans import views
+
+    assert views.publish(lake) == {}
+    lake.overwrite("silver_weather_hourly", weather_api.hours(spark, WEATHER))
+    perf = spark.createDataFrame([(date(2026, 10, 1), "70", 10, 90.0), (date(2026, 10, 1), "70", 9, 80.0)], "service_date date, route_id string, hour_local int, pct_on_time double")
+    lake.overwrite("gold_route_hour_performance", perf)
+    assert list(views.publish(lake)) == ["gold_route_hour_weather"]
+    rows = spark.table("gold_route_hour_weather").collect()
+    assert [(r.hour_local, r.is_wet, r.pct_on_time) for r in rows] == [(10, False, 90.0)]  # hours without weather drop out
