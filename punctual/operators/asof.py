@@ -75,16 +75,16 @@ def as_known(
         fields.append(T.StructField(known_as, T.BooleanType()))
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
 
-    usable = F.col(f"`{entity}`").isNotNull() & F.col(f"`{at}`").isNotNull()
+    usable = F.col(f"`{entity}`").isNotNull()
     rest = events.where(~usable).select(
         "*", *[F.lit(None).cast(changes.schema[a].dataType).alias(names[a]) for a in attributes],
         *([F.lit(False).alias(known_as)] if known_as else []),
     )
-    timed = events.where(usable)
-    salts = Salts(timed, [entity], rows_per_part)
-    left = salts.spread(timed.withColumn(AT, _number(events, at)))
-    versions = changes.where(F.col(entity).isNotNull() & F.col(valid_from).isNotNull()).select(
-        F.col(entity), *[F.col(a).alias(f"{OWN}a_{a}") for a in attributes], _number(changes, valid_from).alias(FROM),
+    named = events.where(usable)
+    salts = Salts(named, [entity], rows_per_part)
+    left = salts.spread(named.withColumn(AT, F.coalesce(_number(events, at), F.lit(-int(NEVER)))))  # no time is before all versions
+    versions = changes.where(F.col(entity).isNotNull()).select(  # without a begin a version is never valid
+        F.col(entity), *[F.col(a).alias(f"{OWN}a_{a}") for a in attributes], F.coalesce(_number(changes, valid_from), F.lit(int(NEVER))).alias(FROM),
         F.coalesce(_number(changes, valid_to), F.lit(int(NEVER))).alias(TO),
         (F.coalesce(_number(changes, recorded), F.lit(int(NEVER))) if recorded else F.lit(0).cast("long")).alias(RECORDED),
     )

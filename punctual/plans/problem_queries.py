@@ -260,7 +260,7 @@ def oracle_sql() -> dict[str, str]:
             FROM silver_vehicle_positions p LEFT JOIN {_VERSIONS}
             WHERE p.route_id IN (SELECT route_id FROM dim_routes) AND NOT coalesce(r.is_current, false)""",
         "p2_attributes": f"""SELECT p.*, r.route_short_name, r.route_long_name, r.route_type, r.route_color, r.feed_version, r.valid_from,
-            r.route_sk, p.service_date IS NOT NULL AND coalesce(p.route_id IN (SELECT route_id FROM dim_routes), false) AS route_known
+            r.route_sk, coalesce(p.route_id IN (SELECT route_id FROM dim_routes), false) AS route_known
             FROM silver_vehicle_positions p LEFT JOIN {_VERSIONS}""",
         "p3_found": f"""SELECT 'vehicle_positions' AS feed, vehicle_id AS entity_id, {epoch} AS event_epoch_s, '' AS trip_start
             FROM ({twice("silver_vehicle_positions", "vehicle_id, event_ts")})

@@ -43,12 +43,12 @@ def run(spark, events, changes, **options):
 
 def test_half_open_periods_and_unknowns(spark):
     changes = [("A", 0, 10, 0, "old", 1), ("A", 10, None, 10, "new", 2), ("B", 5, 6, 5, None, 3), (None, 0, None, 0, "x", 9), ("C", None, None, None, "x", 8)]
-    events = [(1, "A", -1, "e"), (2, "A", 0, "e"), (3, "A", 9, "e"), (4, "A", 10, None), (5, "B", 6, "e"), (6, "Z", 1, "e"), (7, None, 1, "e"), (8, "A", None, "e"), (9, "", 1, "e"), (3, "A", 9, "e")]
+    events = [(1, "A", -1, "e"), (2, "A", 0, "e"), (3, "A", 9, "e"), (4, "A", 10, None), (5, "B", 6, "e"), (6, "Z", 1, "e"), (7, None, 1, "e"), (8, "A", None, "e"), (9, "", 1, "e"), (10, "C", 1, "e"), (3, "A", 9, "e")]
     rows = run(spark, events, changes).collect()
     assert len(rows) == len(events)
     assert {r.id: (r.dim_name, r.sk, r.known) for r in rows} == {
         1: (None, None, True), 2: ("old", 1, True), 3: ("old", 1, True), 4: ("new", 2, True), 5: (None, None, True), 6: (None, None, False),
-        7: (None, None, False), 8: (None, None, False), 9: (None, None, False),
+        7: (None, None, False), 8: (None, None, True), 9: (None, None, False), 10: (None, None, True),
     }
     assert rows[0].asDict().keys() == {"id", "route", "day", "name", "dim_name", "sk", "known"}
 
