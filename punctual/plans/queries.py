@@ -117,7 +117,7 @@ def quarantine_split(spark, d):
     return good.unionByName(bad.groupBy("reason").agg(F.count("*").alias("n"), F.count("record").alias("records")))
 
 
-@query(f"SELECT vehicle_id, date_trunc('second', event_ts) AS event_ts, service_date, route_id, latitude, current_stop_sequence FROM {VP} WHERE {_REASON} IS NULL")
+@query(f"SELECT vehicle_id, date_trunc('second', event_ts) AS event_ts, coalesce(trip_start_date, CAST(event_ts {LOCAL} AS DATE)) AS service_date, route_id, latitude, current_stop_sequence FROM {VP} WHERE {_REASON} IS NULL")
 def parse_positions(spark, d):
     """Positions as raw JSON messages, parsed and typed again."""
     text = lambda c: F.col(c).cast("string")
@@ -377,7 +377,7 @@ def timepoint_departures(spark, d):
 
 @query(f"""WITH {_DEPARTURES} SELECT service_date, day_of_week, route_id, hour_local, CAST(count(*) AS INTEGER) AS departures,
   CAST(count(*) FILTER (WHERE otp_status = 'on_time') AS INTEGER) AS on_time, CAST(count(*) FILTER (WHERE otp_status = 'early') AS INTEGER) AS early,
-  CAST(count(*) FILTER (WHERE otp_status = 'late') AS INTEGER) AS late, round(avg(delay_s), 1) AS avg_delay_s,
+  CAST(count(*) FILTER (WHERE otp_status = 'late') AS INTEGER) AS late, round(avg(delay_s), 1) + 0.0 AS avg_delay_s,
   round(100.0 * count(*) FILTER (WHERE otp_status = 'on_time') / count(*), 1) AS pct_on_time FROM departures GROUP BY 1, 2, 3, 4""")
 def otp_hour(spark, d):
     """Punctuality by route, date and hour, from positions to the mart."""
@@ -587,8 +587,8 @@ def _gaps(spark, d):
     return T(spark, d, GAPS)
 
 
-_SUMMARY = f"""d AS (SELECT route_id, count(*) AS departures, {_OTP('on_time')}, {_OTP('early')}, {_OTP('late')}, round(avg(delay_s), 1) AS avg_delay_s,
-  round(quantile_cont(delay_s, 0.9), 6) AS p90_delay_s, count(*) FILTER (WHERE {_RUSH}) AS rush_departures, count(*) FILTER (WHERE {_RUSH} AND otp_status = 'on_time') AS rush_on_time,
+_SUMMARY = f"""d AS (SELECT route_id, count(*) AS departures, {_OTP('on_time')}, {_OTP('early')}, {_OTP('late')}, round(avg(delay_s), 1) + 0.0 AS avg_delay_s,
+  round(quantile_cont(delay_s, 0.9), 6) + 0.0 AS p90_delay_s, count(*) FILTER (WHERE {_RUSH}) AS rush_departures, count(*) FILTER (WHERE {_RUSH} AND otp_status = 'on_time') AS rush_on_time,
   count(DISTINCT service_date) AS days FROM {DEP} GROUP BY 1), h AS (SELECT route_id, count(*) AS headways, {_HW('bunched')}, {_HW('gapped')} FROM {GAPS} GROUP BY 1),
 summary AS (SELECT d.*, r.route_short_name, r.route_long_name, coalesce(h.headways, 0) AS headways, coalesce(h.bunched, 0) AS bunched, coalesce(h.gapped, 0) AS gapped
   FROM d LEFT JOIN h USING (route_id) LEFT JOIN dim_routes r ON r.route_id = d.route_id AND r.is_current)"""
@@ -629,7 +629,7 @@ def daily_trend(spark, d):
     return datasets.daily(_dep(spark, d), _gaps(spark, d))
 
 
-_STOPS = f"""d AS (SELECT stop_id, count(*) AS departures, {_OTP('on_time')}, round(avg(delay_s), 1) AS avg_delay_s, count(DISTINCT route_id) AS routes,
+_STOPS = f"""d AS (SELECT stop_id, count(*) AS departures, {_OTP('on_time')}, round(avg(delay_s), 1) + 0.0 AS avg_delay_s, count(DISTINCT route_id) AS routes,
   coalesce(string_agg(DISTINCT route_id, ' ' ORDER BY route_id), '') AS route_ids FROM {DEP} GROUP BY 1), h AS (SELECT stop_id, count(*) AS headways, {_HW('bunched')} FROM {GAPS} GROUP BY 1),
 stops AS (SELECT d.*, s.stop_name, TRY_CAST(s.stop_lat AS DOUBLE) AS lat, TRY_CAST(s.stop_lon AS DOUBLE) AS lon, coalesce(headways, 0) AS headways, coalesce(bunched, 0) AS bunched
   FROM d LEFT JOIN h USING (stop_id) JOIN dim_stops s ON s.stop_id = d.stop_id AND s.is_current)"""
@@ -655,9 +655,9 @@ def weather_hours(spark: SparkSession, d: str) -> DataFrame:
 
 
 _WEATHER = f"""w AS (SELECT DISTINCT service_date AS local_date, hour_local AS local_hour, (day(service_date) + hour_local) % 3 = 0 AS is_wet FROM {DEP} WHERE hour_local IS NOT NULL AND day(service_date) <> 5),
-p AS (SELECT service_date, day_of_week, route_id, hour_local, count(*) AS departures, {_OTP('on_time')}, round(avg(delay_s), 1) AS avg_delay_s FROM {DEP} GROUP BY 1, 2, 3, 4),
+p AS (SELECT service_date, day_of_week, route_id, hour_local, count(*) AS departures, {_OTP('on_time')}, round(avg(delay_s), 1) + 0.0 AS avg_delay_s FROM {DEP} GROUP BY 1, 2, 3, 4),
 weather AS (SELECT CASE WHEN is_wet THEN 'wet' ELSE 'dry' END AS weather, {_RUSH} AS rush, count(DISTINCT (service_date, hour_local)) AS hours, CAST(sum(departures) AS BIGINT) AS departures,
-  CAST(sum(on_time) AS BIGINT) AS on_time, round(sum(avg_delay_s * departures) / sum(departures), 1) AS avg_delay_s FROM p JOIN w ON local_date = service_date AND local_hour = hour_local GROUP BY 1, 2)"""
+  CAST(sum(on_time) AS BIGINT) AS on_time, round(sum(avg_delay_s * departures) / sum(departures), 1) + 0.0 AS avg_delay_s FROM p JOIN w ON local_date = service_date AND local_hour = hour_local GROUP BY 1, 2)"""
 
 
 def _weather(spark, d):
@@ -728,13 +728,13 @@ def bench_silver_lookup(spark, d):
     return benchmarks.pings_by_vehicle(T(spark, d, VP))
 
 
-@query(f"SELECT stop_id, count(*) AS departures, round(avg(delay_s), 6) AS avg_delay_s FROM {DEP} WHERE {_busiest(DEP)} GROUP BY 1")
+@query(f"SELECT stop_id, count(*) AS departures, round(avg(delay_s), 6) + 0.0 AS avg_delay_s FROM {DEP} WHERE {_busiest(DEP)} GROUP BY 1")
 def bench_gold_lookup(spark, d):
     """Departures per stop of the busiest route on the last day."""
     return benchmarks.departures_by_stop(T(spark, d, DEP)).withColumn("avg_delay_s", F.round("avg_delay_s", 6))
 
 
-@query(f"SELECT route_id, hour_local, count(*) AS departures, {_OTP('on_time')}, round(quantile_cont(delay_s, 0.9), 6) AS p90_delay_s FROM {DEP} GROUP BY 1, 2")
+@query(f"SELECT route_id, hour_local, count(*) AS departures, {_OTP('on_time')}, round(quantile_cont(delay_s, 0.9), 6) + 0.0 AS p90_delay_s FROM {DEP} GROUP BY 1, 2")
 def bench_full_aggregate(spark, d):
     """Exact 90th percentile by route and hour."""
     return benchmarks.delays_by_hour(T(spark, d, DEP)).withColumn("p90_delay_s", F.round("p90_delay_s", 6))
@@ -765,7 +765,7 @@ def _side(column: str, cond: str) -> str:
 
 
 @query(f"""WITH {_ROUTE_HOUR} SELECT CAST(sum(departures) AS BIGINT) AS departures, {_p('sum(on_time)', 'sum(departures)')} AS pct_on_time, {_p('sum(late)', 'sum(departures)')} AS pct_late,
-  {_p('sum(early)', 'sum(departures)')} AS pct_early, round(sum(delay_s_sum) / sum(departures) / 60, 1) AS avg_delay_min, CAST(sum(headways) AS BIGINT) AS headways,
+  {_p('sum(early)', 'sum(departures)')} AS pct_early, round(sum(delay_s_sum) / sum(departures) / 60, 1) + 0.0 AS avg_delay_min, CAST(sum(headways) AS BIGINT) AS headways,
   {_p('sum(bunched)', 'sum(headways)')} AS pct_bunched, {_p('sum(gapped)', 'sum(headways)')} AS pct_gapped, {_p(_side('on_time', _R), _side('departures', _R))} AS rush_pct_on_time,
   {_p(_side('on_time', 'NOT ' + _R), _side('departures', 'NOT ' + _R))} AS rest_pct_on_time, {_p(_side('bunched', _R), _side('headways', _R))} AS rush_pct_bunched,
   {_p(_side('bunched', 'NOT ' + _R), _side('headways', 'NOT ' + _R))} AS rest_pct_bunched FROM route_hour""")
@@ -775,7 +775,7 @@ def kpis_weighted(spark, d):
 
 
 _PROFILE = f"""{_p('sum(on_time)', 'sum(departures)')} AS pct_on_time, {_p('sum(late)', 'sum(departures)')} AS pct_late, {_p('sum(bunched)', 'sum(headways)')} AS pct_bunched,
-  CASE WHEN sum(departures) > 0 THEN round(sum(delay_s_sum) / sum(departures) / 60, 1) END AS avg_delay_min"""
+  CASE WHEN sum(departures) > 0 THEN round(sum(delay_s_sum) / sum(departures) / 60, 1) + 0.0 END AS avg_delay_min"""
 
 
 @query(f"""WITH {_ROUTE_HOUR} SELECT hour_local, {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in ('departures', 'on_time', 'late', 'headways', 'bunched', 'delay_s_sum'))}, {_PROFILE}
@@ -816,7 +816,7 @@ def stop_points(spark, d):
 _PERIOD = "CASE WHEN rush THEN 'Weekday rush' ELSE 'Other hours' END"
 
 
-@query(f"WITH {_WEATHER} SELECT {_PERIOD} AS period, weather, hours, departures, round(100.0 * on_time / departures, 1) AS pct_on_time, round(avg_delay_s / 60, 1) AS avg_delay_min FROM weather")
+@query(f"WITH {_WEATHER} SELECT {_PERIOD} AS period, weather, hours, departures, round(100.0 * on_time / departures, 1) AS pct_on_time, round(avg_delay_s / 60, 1) + 0.0 AS avg_delay_min FROM weather")
 def weather_table(spark, d):
     """Wet and dry figures with their samples."""
     return dashboard.weather_table(_weather(spark, d))
@@ -833,7 +833,7 @@ def weather_bars(spark, d):
     return dashboard.weather_bars(_weather(spark, d))
 
 
-_TIMELINE = "SELECT '{0}' AS kind, trip_id, vehicle_id, {1} AS epoch, round(delay_s / 60.0, 1) AS delay_min, headway_status, to_timestamp({1}) AT TIME ZONE '" + LOCAL_ZONE + "' AS time FROM example"
+_TIMELINE = "SELECT '{0}' AS kind, trip_id, vehicle_id, {1} AS epoch, round(delay_s / 60.0, 1) + 0.0 AS delay_min, headway_status, to_timestamp({1}) AT TIME ZONE '" + LOCAL_ZONE + "' AS time FROM example"
 
 
 @query(f"WITH {_EXAMPLE} {_TIMELINE.format('Scheduled', 'scheduled_epoch')} UNION ALL {_TIMELINE.format('Actual', 'observed_epoch')}")
