@@ -1,8 +1,8 @@
 """Exactly one copy of each message, without moving the messages.
 
 Only identifier, delivery order and file-row position are shuffled to select winners. The other copies' positions
-become deletion vectors, row numbers per file and block of 65,536 rows, in the shared folder. Wide rows are then read
-file by file and lose the deleted rows on the way.
+become deletion vectors, a bitmap per file and block of 16,384 rows, in the shared folder. Wide rows are then read
+file by file; each looks up its block's bitmap and is dropped if its bit is set.
 
 Defined results: null equals null in identifiers; of copies delivered at the same time the one first in file order
 (hash of the file, then row) stays; an empty table stays empty; columns of any name and type pass through.
@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 from punctual.operators.skew import OWN
 from punctual.session import cut, shared_path, utc_timestamps
 
-BLOCK = 1 << 16
-#: Deleted rows that one read broadcasts (24 bytes each before hashing); tables with more are read in several groups of files.
-MAX_DELETED = 2_000_000
+WORDS = 256
+BLOCK = 64 * WORDS
+#: Bitmaps (2 KB each) that one read broadcasts; tables with more blocks to change are read in several groups of files.
+MAX_BITMAPS = 50_000
 
 
 def _file_id(path) -> object:
@@ -51,15 +52,19 @@ def repeated(scan: DataFrame, identifier: Sequence[str], order: Sequence[str]) -
 
 
 def deletion_vectors(scan: DataFrame, identifier: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """(file, block, rows): the row numbers, within the block, of every copy that isn't the winner."""
+    """(file, block, bits, n): a bitmap, in 64-bit words, of the rows in the block that aren't the winner's, and their number."""
     many = repeated(scan, identifier, order).alias("b")
     rows = positions(scan, identifier, order).alias("a")
     on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in _keys(identifier)]
     lost = rows.join(many, on).where("a.at <> b.winner").select(F.col("a.at.file").alias("file"), F.col("a.at.row").alias("row"))
-    return (
-        lost.groupBy("file", F.floor(F.col("row") / BLOCK).alias("block"))
-        .agg(F.sort_array(F.collect_list((F.col("row") % BLOCK).cast("int"))).alias("rows"))
+    words = lost.groupBy("file", F.expr(f"row div {BLOCK}").alias("block"), F.expr(f"int(row % {BLOCK} div 64)").alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, int(row % 64)))").alias("bits")
     )
+    blocks = words.groupBy("file", "block").agg(
+        F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("words"), F.sum(F.bit_count("bits")).alias("n")
+    )
+    dense = F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda w: F.coalesce(F.element_at("words", w), F.lit(0).cast("long")))
+    return blocks.select("file", "block", dense.alias("bits"), "n")
 
 
 def exactly_once(spark: SparkSession, paths: str | Sequence[str], identifier: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -69,8 +74,8 @@ def exactly_once(spark: SparkSession, paths: str | Sequence[str], identifier: Se
     folder = shared_path(spark, "deleted")
     deletion_vectors(scan, identifier, order).write.parquet(folder)
     vectors = spark.read.parquet(folder)
-    # The driver lists the files anyway; it learns how many rows each loses.
-    lost = {r.file: r.n for r in vectors.groupBy("file").agg(F.sum(F.size("rows")).alias("n")).toLocalIterator()}
+    # The driver lists the files anyway; it learns how many bitmaps each has.
+    lost = {r.file: r["count"] for r in vectors.groupBy("file").count().toLocalIterator()}
     files = spark.createDataFrame([(f,) for f in scan.inputFiles()] or [("",)], "path string")
     groups: list[list[str]] = [[]]
     whole, size = [], 0
@@ -79,7 +84,7 @@ def exactly_once(spark: SparkSession, paths: str | Sequence[str], identifier: Se
         if not n:
             whole.append(path)
             continue
-        if groups[-1] and size + n > MAX_DELETED:
+        if groups[-1] and size + n > MAX_BITMAPS:
             groups.append([])
             size = 0
         groups[-1].append(path)
@@ -92,15 +97,18 @@ def exactly_once(spark: SparkSession, paths: str | Sequence[str], identifier: Se
     for group in groups:
         read = reader.options(**base).parquet(*group)
         names = read.columns
-        gone = vectors.select("file", "block", F.explode("rows").alias("r")).select("file", (F.col("block") * BLOCK + F.col("r")).alias("row"))
+        gone = vectors.select(F.col("file").alias(f"{OWN}f"), F.col("block").alias(f"{OWN}b"), F.col("bits").alias(f"{OWN}bits"))
         if len(groups) > 1:
-            mine = spark.createDataFrame([(p,) for p in group], "path string").select(_file_id(F.col("path")).alias("file"))
-            gone = gone.join(F.broadcast(mine), "file", "left_semi")
-        gone = F.broadcast(gone.select(F.col("file").alias(f"{OWN}f"), F.col("row").alias(f"{OWN}r")))
+            mine = spark.createDataFrame([(p,) for p in group], "path string").select(_file_id(F.col("path")).alias(f"{OWN}f"))
+            gone = gone.join(F.broadcast(mine), f"{OWN}f", "left_semi")
         where = read.metadataColumn("_metadata")
+        row, bits = F.col(f"{OWN}row"), F.col(f"{OWN}bits")
         tagged = read.select("*", _file_id(where["file_path"]).alias(f"{OWN}file"), where["row_index"].alias(f"{OWN}row"))
-        kept = tagged.join(gone, (F.col(f"{OWN}file") == F.col(f"{OWN}f")) & (F.col(f"{OWN}row") == F.col(f"{OWN}r")), "left_anti")
-        parts.append(kept.select(*[f"`{c}`" for c in names]))
+        own_block = (F.col(f"{OWN}file") == F.col(f"{OWN}f")) & (F.expr(f"{OWN}row div {BLOCK}") == F.col(f"{OWN}b"))
+        joined = tagged.join(F.broadcast(gone), own_block, "left")
+        word = F.element_at(bits, ((row % BLOCK) / 64).cast("int") + 1)
+        deleted = bits.isNotNull() & (F.getbit(word, (row % 64).cast("int")) == 1)
+        parts.append(joined.where(~deleted).select(*[f"`{c}`" for c in names]))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

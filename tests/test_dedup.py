@@ -23,9 +23,9 @@ def random_rows(n=2000):
     ] + [("hot", T0, T0 + timedelta(minutes=k % 7), f"hot{k}", n + k, "x") for k in range(n // 2)]
 
 
-@pytest.mark.parametrize("limit", [10**6, 400])
+@pytest.mark.parametrize("limit", [10**6, 1])
 def test_one_copy_each_the_first_delivered(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr(dedup, "MAX_DELETED", limit)  # 400: several groups of files
+    monkeypatch.setattr(dedup, "MAX_BITMAPS", limit)  # 1: a group for each file
     rows = random_rows()
     place = write(spark, f"{tmp_path}/t", rows)
     got = dedup.exactly_once(spark, place, KEY, ORDER).collect()
@@ -41,12 +41,20 @@ def test_one_copy_each_the_first_delivered(spark, tmp_path, monkeypatch, limit):
 def test_vectors_hold_every_other_copy(spark, tmp_path):
     rows = random_rows(300)
     scan = spark.read.parquet(write(spark, f"{tmp_path}/t", rows))
-    lost = sum(len(r["rows"]) for r in dedup.deletion_vectors(scan, KEY, ORDER).collect())
+    lost = sum(r.n for r in dedup.deletion_vectors(scan, KEY, ORDER).collect())
     assert lost == len(rows) - len({r[:2] for r in rows})
     many = {r[:2] for r in rows if sum(x[:2] == r[:2] for x in rows) > 1}
     assert {tuple(r) for r in dedup.repeated_identifiers(scan, KEY, ORDER).collect()} == many
 
 
+def test_bitmaps_of_long_files(spark, tmp_path):
+    spark.range(50_000).selectExpr("cast(id % 20000 as string) vid", "timestamp'2026-03-01' at", "timestamp_seconds(id) loaded", "'b' body", "int(id) _row", "'f' file").coalesce(1).write.parquet(f"{tmp_path}/t")
+    scan = spark.read.parquet(f"{tmp_path}/t")
+    found = dedup.deletion_vectors(scan, KEY, ORDER).collect()
+    assert {r.block: r.n for r in found} == {1: 12768, 2: 16384, 3: 848} and all(sum(bin(w & (1 << 64) - 1).count("1") for w in r.bits) == r.n for r in found)
+    assert sorted(r._row for r in dedup.exactly_once(spark, f"{tmp_path}/t", KEY, ORDER).collect()) == list(range(20_000))
+
+
 def test_nothing_to_delete_and_empty(spark, tmp_path):
     place = write(spark, f"{tmp_path}/t", [("a", T0, T0, "x", 1, "f"), (None, T0, T0, "x", 2, "f"), ("", T0, T0, "x" * 100_000, 3, "f")])
     assert dedup.exactly_once(spark, place, KEY, ORDER).count() == 3
