@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from punctual.operators.skew import OWN, SALT, Salts
 
 NEVER = np.iinfo(np.int64).max
-ROWS_PER_PART = 200_000
+ROWS_PER_PART = 50_000
 AT, FROM, TO, RECORDED = (f"{OWN}{x}" for x in ("at", "from", "to", "recorded"))
 
 
