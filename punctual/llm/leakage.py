@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctual.llm.lookalike import Rewriter
-from punctual.llm.spoken import spoken_words
+from punctual.llm.spoken import spoken_words, word_rewriter
 from punctual.session import spread
 
 SEED_WORDS = 5
@@ -203,7 +203,7 @@ def find_leaks(
     Each block of at most ``max_items`` items is broadcast (about 1 KB an item); the documents never move.
     """
     spark = documents.sparkSession
-    rewriter = rewriter or Rewriter()
+    rewriter = rewriter if rewriter and rewriter.fold_case else word_rewriter()
     kinds = documents.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     schema = f"doc {kinds[0]}, item {kinds[1]}, tiled_words int"
     out = None

@@ -35,6 +35,8 @@ SAME_SHAPE = [
 # Invisible marks outside the format category.
 EXTRA_INVISIBLE = [0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180B, 0x180C, 0x180D, 0x180F, 0x3164, 0xFFA0]
 KEPT_CONTROLS = "\t\n\v\f"
+#: Small nu looks like v, but its capital like N: of case-folded letters it stands with n, or n and v would be one.
+FOLDED_APART = {("v", "ν")}
 
 
 def is_invisible(ch: str) -> bool:
@@ -67,8 +69,11 @@ class UnionFind:
             self.parent[max(ra, rb)] = min(ra, rb)
 
 
-def _rules() -> tuple[list[str], list[tuple[str, str]], list[tuple[str, str]]]:
-    """Invisible code points, pairs of alike code points, and (code point, decomposed string) pairs."""
+def _rules(fold_case: bool = False) -> tuple[list[str], list[tuple[str, str]], list[tuple[str, str]]]:
+    """Invisible code points, pairs of alike code points, and (code point, decomposed string) pairs.
+
+    With ``fold_case`` letters are alike in small form if they are in either form.
+    """
     invisible, pairs, strings = [], [], []
     for o in range(sys.maxunicode + 1):
         if 0xD800 <= o < 0xE000:
@@ -91,16 +96,23 @@ def _rules() -> tuple[list[str], list[tuple[str, str]], list[tuple[str, str]]]:
             full = unicodedata.normalize("NFD", ch)
             (pairs if len(full) == 1 else strings).append((ch, full))
     for group in SAME_SHAPE:
-        pairs += [(group[0], x) for x in group[1:]]
+        alike = [(group[0], x) for x in group[1:]]
+        if fold_case:
+            alike = [p for a, b in alike if (p := (a.casefold(), b.casefold())) not in FOLDED_APART]
+        pairs += alike
     return invisible, pairs, strings
 
 
 class Rewriter:
-    """Rewrites texts to the class representatives chosen by ``frequency`` (of code points and clusters)."""
+    """Rewrites texts to the class representatives chosen by ``frequency`` (of code points and clusters).
+
+    With ``fold_case`` the classes are closed under case folding, for texts that are case-folded already.
+    """
 
-    def __init__(self, frequency: Mapping[str, int] | None = None) -> None:
+    def __init__(self, frequency: Mapping[str, int] | None = None, fold_case: bool = False) -> None:
         freq = frequency or {}
-        invisible, pairs, strings = _rules()
+        self.fold_case = fold_case
+        invisible, pairs, strings = _rules(fold_case)
         uf = UnionFind()
         for a, b in pairs:
             uf.union(a, b)
@@ -144,7 +156,7 @@ class Rewriter:
         self.plain = re.compile("[" + re.escape(ascii_touched) + "]") if ascii_touched else None
 
     def __getstate__(self) -> dict:
-        return {"table": self.table, "patterns": self.patterns}
+        return {"table": self.table, "patterns": self.patterns, "fold_case": self.fold_case}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)

@@ -26,6 +26,31 @@ def test_spoken_words():
     assert spoken_words("plain words here", R) == ["plain", "words", "here"]
 
 
+@pytest.mark.parametrize("text", [
+    "в москве нет никого кто бы не знал этого", "θέλω να μάθω νέα βιβλία και τη ζωή μου ήταν όνομα", "the line is live βut never",
+    "ով հայոց սիրտ", "ΐ ᾳ ῥ ђ ї ё й",
+])
+def test_letter_case_does_not_count(text):
+    assert spoken_words(text.upper(), R) == spoken_words(text, R) == spoken_words(text.title(), R)
+
+
+def test_case_and_look_alikes_together():
+    assert spoken_words("MOCKBA BETEP", R) == spoken_words("москва ветер", R)  # Latin capitals for Cyrillic ones
+    assert spoken_words("NEA BΡOΝTH", R) == spoken_words("νεα βροντη", R)
+    assert spoken_words("BRAΝCH saνe SΑVE", R) == ["branch", "save", "save"]
+    assert len(set(spoken_words("live line have ham han", R))) == 5  # letters of one script stay apart
+    assert spoken_words("μέvω", R) == spoken_words("ΜΈΝΩ", R) != spoken_words("μενω", R)  # missing accents count
+    assert spoken_words("ὁ ή", R) != spoken_words("ο η", R)
+
+
+def test_leaks_in_capitals(spark):
+    russian = [f"вам{c}нет{k}" for c in "бгджз" for k in "ивмт"]
+    greek = [f"μην{c}βρη{k}" for c in "γδθλξ" for k in "νητυ"]
+    d = spark.createDataFrame([(1, cues([w.upper() for w in russian])), (2, cues([w.upper() for w in greek]))], "doc_id long, text string")
+    e = spark.createDataFrame([(5, " ".join(russian)), (6, " ".join(greek))], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in find_leaks(d, e).collect()} == {(1, 5), (2, 6)}
+
+
 def slow(item, doc, rule=RULE):
     for a in range(len(item)):
         for z in range(a + rule.min_words, len(item) + 1):
