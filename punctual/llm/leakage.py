@@ -2,8 +2,8 @@
 
 Items are the stated query set: they are taken in blocks of bounded size, each broadcast as a seed index, and every
 document passes each block once, without a shuffle. Within a document, shared five-word seeds (rolling Karp-Rabin
-hashes) are extended to matches; the longest unmarked match is marked again and again; items whose tiles cover too few
-words are dropped; the rest is checked exactly against the stated rule.
+hashes) are extended to matches; the longest unmarked match is marked again and again. Diagonals whose matches, marked
+or not, cover too few words are dropped, and tilings that do; the rest is checked exactly against the stated rule.
 
 Defined results: null, empty and word-less documents or items leak nothing; repeated item or document rows give one
 row; items shorter than ``min_words`` words never match.
@@ -126,25 +126,37 @@ def tiles(item: np.ndarray, doc: np.ndarray, seeds: list[tuple[int, int]]) -> li
     return sorted(out)
 
 
+def on_diagonal(item: np.ndarray, doc: np.ndarray, shift: int, rule: LeakRule) -> bool:
+    """Some window of the item stands ``shift`` words further in the document as the rule says.
+
+    Positions outside the document aren't part of it, so windows stay inside.
+    """
+    lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
+    if hi - lo < rule.min_words:
+        return False
+    wrong = item[lo:hi] != doc[lo + shift : hi + shift]
+    # A window holds if this doesn't fall from its begin to its end.
+    score = np.arange(hi - lo + 1) - rule.one_in * np.r_[0, np.cumsum(wrong)]
+    return bool(np.any(score[rule.min_words :] >= np.minimum.accumulate(score)[: -rule.min_words]))
+
+
+def seeded_diagonals(seeds: list[tuple[int, int]], need: int) -> list[int]:
+    """The diagonals whose seeds cover at least ``need`` item words; no tile takes words away from them."""
+    at = defaultdict(list)
+    for i, d in seeds:
+        at[d - i].append(i)
+    covered = lambda xs: SEED_WORDS + sum(min(SEED_WORDS, y - x) for x, y in zip(xs, xs[1:]))
+    return [shift for shift, xs in at.items() if covered(sorted(xs)) >= need]
+
+
 def holds(item: np.ndarray, doc: np.ndarray, marked: list[tuple[int, int, int]], rule: LeakRule) -> bool:
     """The exact check: some window of the item stands in the document as the rule says.
 
     A window follows one diagonal, or goes from tile to tile in order where words were put in or left out; there the
     longer of the two gaps counts as altered.
     """
-    n = len(item)
-    for shift in {d - i for i, d, _ in marked}:
-        k = np.arange(n)
-        inside = (k + shift >= 0) & (k + shift < len(doc))
-        same = np.zeros(n, bool)
-        same[inside] = item[inside] == doc[k[inside] + shift]
-        # Positions outside the document aren't part of it, so windows stay inside.
-        c = np.r_[0, np.cumsum(~same)]
-        lo, hi = (int(k[inside][0]), int(k[inside][-1]) + 1) if inside.any() else (0, 0)
-        for a in range(lo, hi - rule.min_words + 1):
-            z = np.arange(a + rule.min_words, hi + 1)
-            if np.any(rule.one_in * (c[z] - c[a]) <= z - a):
-                return True
+    if any(on_diagonal(item, doc, shift, rule) for shift in {d - i for i, d, _ in marked}):
+        return True
     for s in range(len(marked)):
         i0, d0, size = marked[s]
         i, d, altered = i0 + size, d0 + size, 0
@@ -178,7 +190,10 @@ def leaks_of(doc: np.ndarray, index: SeedIndex, rule: LeakRule) -> Iterator[tupl
             continue
         marked = tiles(item, doc, mine[o])
         covered = sum(n for _, _, n in marked)
-        if covered >= need and holds(item, doc, marked, rule):
+        # A tile may have taken the words of a true passage, so diagonals are checked apart from the tiling.
+        if covered >= need and holds(item, doc, marked, rule) or any(
+            on_diagonal(item, doc, shift, rule) for shift in seeded_diagonals(mine[o], need)
+        ):
             yield index.ids[o], covered
 
 

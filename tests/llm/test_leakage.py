@@ -79,6 +79,36 @@ def test_like_brute_force():
     assert min(seen) > 50
 
 
+def leaks(item, doc):
+    index = SeedIndex([(1, item)])
+    return bool(list(leaks_of(np.array([index.vocabulary.get(w, 0) for w in doc], np.int64), index, RULE)))
+
+
+def test_longer_quote_does_not_hide_a_passage():
+    item = [f"w{k}" for k in range(30)]
+    passage = ["zz" if k in (4, 9) else w for k, w in enumerate(item[:18])]
+    for doc in (passage + ["yy"] * 20 + item[8:20], item[8:20] + ["yy"] + passage):
+        assert slow(item, doc) and leaks(item, doc)
+
+
+def test_like_brute_force_with_repeated_fragments():
+    rnd = random.Random(13)
+    seen = [0, 0]
+    for _ in range(400):
+        item = [f"w{rnd.randint(0, 60)}" for _ in range(rnd.randint(18, 40))]
+        cut = lambda n: item[(s := rnd.randint(0, len(item) - n)) : s + n]
+        part = cut(rnd.randint(18, min(22, len(item))))
+        for k in rnd.sample(range(len(part)), rnd.randint(1, 3)):
+            part[k] = "zz"
+        pieces = [part] + [cut(rnd.randint(5, 14)) for _ in range(rnd.randint(1, 4))]
+        rnd.shuffle(pieces)
+        doc = [w for p in pieces for w in [*p, *["yy"] * 20]]
+        want = slow(item, doc)
+        seen[want] += 1
+        assert leaks(item, doc) == want
+    assert min(seen) > 50
+
+
 def test_least_tiled_is_a_lower_bound():
     assert RULE.least_tiled() == 8
 
