@@ -7,8 +7,8 @@ events in place, and replaces the outputs of the periods it touches. Events late
 The state is mergeable, so a hot block is split into parts by event and the parts' outputs are added up.
 
 Defined results: the first-loaded row of an identifier counts, its repeats don't; null identifiers are values like
-any other; a null event or load time puts a row in no period; null values count as events but add nothing to sums; an
-empty table gives no period.
+any other; a row with a null event or load time is left out, its other copies aren't; null values count as events but
+add nothing to sums; an empty table gives no period.
 """
 
 from __future__ import annotations
@@ -137,13 +137,14 @@ class LateAware:
         self.identifier = list(identifier)
         # Repeats counted too: a block's parts may be smaller than asked, and the identifiers needn't be shuffled to count.
         self.salts = Salts(rows.select(F.floor(event_s.cast("long") / block).alias("_block")), ["_block"], ROWS_PER_PART)
-        narrow = rows.select(
+        # Before the first-loaded row is chosen, so a copy without a time doesn't stand for one that has both.
+        narrow = rows.where(F.col(loaded).isNotNull() & event_s.isNotNull()).select(
             *identifier, F.col(loaded).alias("_loaded"), event_s.cast("long").alias("_event"),
             *[c.cast("double").alias(f"_s_{n}") for n, c in sums.items()],
         )
         first = first_loaded(narrow, identifier, "_loaded", ["_event", *[f"_s_{n}" for n in sums]])
         due = (F.floor(F.col("_event") / width) * width + measured_from).cast("long")
-        self.events = first.where("_event is not null and _loaded is not null").select(
+        self.events = first.select(
             "*", F.floor(F.col("_event") / block).alias("_block"), (F.unix_micros("_loaded") - due * 1_000_000).alias("_late_us")
         )
 

@@ -61,6 +61,20 @@ def test_first_loaded_row_decides(spark):
     assert (r.n_events, r.sum_speed, r.n_speed) == (2, 1.0, 1)
 
 
+def test_copy_without_a_time_hides_no_other(spark):
+    rows = [("a", T0, None, 9.0), ("a", T0, T0 + timedelta(hours=5), 1.0), ("b", T0, T0 + timedelta(hours=1), 2.0), ("b", T0, None, 9.0)]
+    a = aware(rows_of(spark, rows))
+    r = a.periods().first()
+    assert (r.n_events, r.n_late, r.sum_speed) == (2, 1, 3.0)
+    assert [(r.vid, r.outcome) for r in a.late_rows().collect()] == [("a", "corrects")]
+    # The event time needn't belong to the identifier.
+    b = LateAware(
+        spark.createDataFrame([("c", None, T0, 9.0, 1, "x"), ("c", T0, T0 + timedelta(hours=1), 1.0, 1, "x")], SCHEMA),
+        ["vid"], F.unix_seconds("at"), "loaded", HOUR, HOUR, Lateness(3 * HOUR, 48 * HOUR), {"speed": F.col("speed")},
+    )
+    assert [(r.n_events, r.sum_speed) for r in b.periods().collect()] == [(1, 1.0)]
+
+
 def test_empty(spark):
     a = aware(rows_of(spark, []))
     assert a.periods().count() == 0 and a.late_rows().count() == 0
