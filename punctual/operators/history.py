@@ -72,7 +72,9 @@ def full_history(old: DataFrame, snapshots: DataFrame, feed_info: DataFrame, spe
     force = releases_in_force(feed_info, old)
     # A version loaded again replaces its earlier rows, also those that the old history was built from.
     loads = snapshots.where(F.col(spec.key).isNotNull()).groupBy("feed_version").agg(F.max("_loaded_at").alias("_loaded_at"))
-    given = {r.feed_version for r in loads.select("feed_version").limit(MAX_RELEASES + 1).collect()}
+    # Only versions in force are looked up, so however many there are, at most MAX_RELEASES come to the driver.
+    in_force = spark.createDataFrame([(v,) for _, v in force if v is not None], "feed_version string").distinct()
+    given = {r.feed_version for r in loads.join(in_force, "feed_version", "left_semi").select("feed_version").collect()}
     built = old.agg(F.max("valid_from").alias("f"), F.max("valid_to").alias("t")).first()
     known_to = max((x for x in (built.f, built.t) if x), default=None)
     kept = [s for s, v in force if v not in given and known_to is not None and s <= known_to]

@@ -88,3 +88,11 @@ def test_too_many_releases(spark, monkeypatch):
     monkeypatch.setattr("punctual.operators.history.MAX_RELEASES", 1)
     with pytest.raises(ValueError):
         frames(spark, [], [("v1", "A", "a", "b", 1)], [("v1", 0, 1), ("v2", 5, 1)])
+
+
+def test_more_versions_than_releases(spark, monkeypatch):
+    monkeypatch.setattr("punctual.operators.history.MAX_RELEASES", 2)
+    new = [(f"v{n}", "A", f"a{n}", None, n) for n in range(60)]  # all from one day; the last loaded is in force
+    for last in (7, 31, 59):
+        info = [(f"v{n}", 0, 99 if n == last else n) for n in range(60)]
+        assert shown(frames(spark, [], new, info)) == [("A", f"a{last}", None, 0, None)]
