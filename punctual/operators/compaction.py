@@ -87,16 +87,18 @@ def live_files(log: DataFrame) -> DataFrame:
     )
 
 
-def small_files(log: DataFrame, tiers: Tiers = Tiers()) -> DataFrame:
-    """The live files of tier 0: the inputs of the first level of merges."""
-    files = live_files(log)
-    return files.where(tiers.of(F.col("size_bytes")) == 0)
+def small_files(
+    log: DataFrame, tiers: Tiers = Tiers(), scope: Sequence[str] = ("table_name", "service_date"), cluster: Sequence[str] = ("route_id", "path"),
+) -> DataFrame:
+    """The planned first level: the live files of tier 0, ``first`` is null for one that has no other to merge with."""
+    return plan(live_files(log), scope, cluster, tiers).where("tier = 0")
 
 
 def plan(files: DataFrame, scope: Sequence[str], cluster: Sequence[str], tiers: Tiers = Tiers()) -> DataFrame:
-    """(scope, path, n_rows, size_bytes, output, level): the output each file ends in after all levels.
+    """(scope, path, n_rows, size_bytes, output, level, tier, first): the output each file ends in after all levels.
 
-    ``output`` is null for a file that stays as it is. Neighbours by ``cluster`` are merged, so outputs cover narrow
+    ``output`` is null for a file that stays as it is, ``first`` for one that the first level, in its ``tier``, leaves
+    alone. Neighbours by ``cluster`` are merged, so outputs cover narrow
     ranges of it. Each level is one window over what the level before left, per scope, lot and tier; a last level
     merges what the tiers have left over.
     """
@@ -133,7 +135,9 @@ def plan(files: DataFrame, scope: Sequence[str], cluster: Sequence[str], tiers:
             "_unit": F.when(F.col("_merged"), F.sha2(F.concat(F.lit(f"{level}:"), F.col("_id")), 256)).otherwise(F.col("_unit")),
             "_unit_size": F.when(F.col("_merged"), F.col("_sum")).otherwise(F.col("_unit_size")),
         })
-    return rows.select(*files.columns, F.when(F.col("level") > 0, F.col("_unit")).alias("output"), "level")
+        if level == 1:
+            rows = rows.withColumns({"tier": F.col("_tier"), "first": F.when(F.col("_merged"), F.col("_unit"))})
+    return rows.select(*files.columns, F.when(F.col("level") > 0, F.col("_unit")).alias("output"), "level", "tier", "first")
 
 
 # ---------------------------------------------------------------- files

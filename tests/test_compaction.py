@@ -34,6 +34,16 @@ def test_last_action_decides(spark):
     assert live_files(rows.limit(0)).count() == 0
 
 
+def test_small_files_come_from_the_planned_first_level(spark):
+    rows = log(spark, *[(k, "add", f"/a/{k}", 1, n) for k, n in enumerate([10, 20, 70_000, 65_535, 70_000_000])]).withColumn(
+        "table_name", F.when(F.col("path") == "/a/3", "lone").otherwise("t")
+    )
+    small = {r.path: r for r in small_files(rows).collect()}
+    assert set(small) == {"/a/0", "/a/1", "/a/3"}
+    assert small["/a/0"].first and small["/a/0"].first == small["/a/1"].first
+    assert small["/a/3"].first is None and small["/a/3"].output is None and small["/a/3"].level == 0
+
+
 def files(spark, sizes, scope=lambda k: "s"):
     return spark.createDataFrame([(scope(k), f"/f{k:05}", f"r{k % 7}", 10, s) for k, s in enumerate(sizes)], "scope string, path string, route string, n_rows long, size_bytes long")
 
