@@ -37,9 +37,14 @@ class Salts:
         joined = df.join(hot, on, "left").drop(*[f"{OWN}hot_{k}" for k in self.keys])
         return joined.withColumn(PARTS, F.coalesce(PARTS, F.lit(1)))
 
-    def spread(self, df: DataFrame) -> DataFrame:
-        """Rows with a ``SALT`` column; rows of a hot key go round its parts in turn, equal rows too."""
-        return self._joined(df).withColumn(SALT, F.pmod(F.monotonically_increasing_id(), F.col(PARTS)).cast("int")).drop(PARTS)
+    def spread(self, df: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
+        """Rows with a ``SALT`` column: the parts of a hot key are dealt by a hash of ``by``.
+
+        Without it rows go round the parts in turn, equal rows too; then ``df`` must be a scan, whose rows keep their
+        order if a task is run again.
+        """
+        turn = F.xxhash64(*by) if by else F.monotonically_increasing_id()
+        return self._joined(df).withColumn(SALT, F.pmod(turn, F.col(PARTS)).cast("int")).drop(PARTS)
 
     def copies(self, df: DataFrame) -> DataFrame:
         """Rows once for each part of their key."""

@@ -10,7 +10,9 @@ from punctual.operators.compaction import compact, list_files, live_files, plan,
 from punctual.operators.dedup import exactly_once, repeated_identifiers
 from punctual.operators.history import ROUTES, STOPS, Tracked, full_history
 from punctual.operators.late import LateAware, Lateness
+from punctual.operators.late_store import LateStore
 from punctual.session import shared_path, table
+from punctual.sources.lake import Lake
 
 HOUR, DAY = 3_600, 86_400
 DELIVERED = ["_silver_loaded_at", "_ingested_at", "fetched_at", "feed_header_ts", "_source_file"]
@@ -145,7 +147,7 @@ def _daily(spark: SparkSession, d: str) -> LateAware:
     rows = table(spark, d, "gold_timepoint_departures")
     return LateAware(
         rows, ["trip_id", "service_date", "stop_sequence"], F.unix_date("service_date") * DAY, "_gold_built_at", DAY, 0,
-        Lateness(36 * HOUR, 7 * DAY), {"delay_s": F.col("delay_s")}, block=4 * DAY,
+        Lateness(36 * HOUR, 7 * DAY), {"delay_s": F.col("delay_s")}, block=4 * DAY, batch=6 * HOUR,
     )
 
 
@@ -166,7 +168,7 @@ def p6_hourly(spark: SparkSession, d: str) -> DataFrame:
     """Positions per UTC hour of the event, late rows in place up to the cut-off."""
     return _hourly(spark, d).periods().select(
         F.timestamp_seconds("period_s").alias("hour_utc"), "n_events", "n_late", F.round("sum_speed_mps", 3).alias("speed_sum"),
-        "n_speed_mps", F.col("sum_staleness_s").cast("long").alias("staleness_sum"),
+        "n_speed_mps", F.col("sum_staleness_s").alias("staleness_sum"),
     )
 
 
@@ -174,7 +176,25 @@ def p6_daily(spark: SparkSession, d: str) -> DataFrame:
     """Departures per service date, late builds in place up to the cut-off."""
     return _daily(spark, d).periods().select(
         F.timestamp_seconds("period_s").cast("date").alias("service_date"), "n_events", "n_late",
-        F.col("sum_delay_s").cast("long").alias("delay_sum"), "n_delay_s",
+        F.col("sum_delay_s").alias("delay_sum"), "n_delay_s",
+    )
+
+
+def p6_store_hourly(spark: SparkSession, d: str) -> DataFrame:
+    """As p6_hourly, from a table corrected batch by batch: the positions come in six batches in the order of their loads."""
+    rows = table(spark, d, "silver_vehicle_positions").select(*POSITION, "_silver_loaded_at", "speed_mps", "staleness_s")
+    store = LateStore(
+        Lake(spark, shared_path(spark, "late")), "hourly", POSITION, "event_ts", "_silver_loaded_at", HOUR, Lateness(3 * HOUR, 48 * HOUR),
+        ["speed_mps", "staleness_s"], block=DAY,
+    )
+    loaded = F.unix_seconds("_silver_loaded_at")
+    span = rows.agg(F.min(loaded).alias("low"), F.max(loaded).alias("high")).first()
+    share = F.when(loaded < span.high, F.floor((loaded - span.low) * 6 / (span.high - span.low))).otherwise(5) if span.low is not None else F.lit(0)
+    for n in range(6):
+        store.apply(rows.where(share == n))
+    return store.periods().select(
+        F.timestamp_seconds("period_s").alias("hour_utc"), "n_events", "n_late", F.round("sum_speed_mps", 3).alias("speed_sum"), "n_speed_mps",
+        F.col("sum_staleness_s").alias("staleness_sum"),
     )
 
 
@@ -183,7 +203,7 @@ def queries() -> dict:
         f.__name__: f
         for f in (
             p2_found, p2_attributes, p3_found, p3_positions, p3_updates, p3_first_delivery, p4_found, p4_plan, p4_rows, p5_found, p5_routes,
-            p5_stops, p6_found, p6_hourly, p6_daily,
+            p5_stops, p6_found, p6_hourly, p6_store_hourly, p6_daily,
         )
     }
 
@@ -255,6 +275,9 @@ def oracle_sql() -> dict[str, str]:
     )
     full = lambda s: f"{s.key}, {', '.join(s.columns)}, attr_hash, feed_version, valid_from, valid_to, valid_to IS NULL AS is_current"
     shown = lambda s, e: f"'{e}' AS entity, {s.key} AS entity_id, CAST(valid_from AS VARCHAR) AS valid_from, coalesce(CAST(valid_to AS VARCHAR), '') AS valid_to"
+    hourly = f"""SELECT date_trunc('hour', event_ts) AS hour_utc, count(*) AS n_events, count(*) FILTER (WHERE late) AS n_late,
+            round(coalesce(sum(speed_mps), 0), 3) AS speed_sum, count(speed_mps) AS n_speed_mps, CAST(coalesce(sum(staleness_s), 0) AS BIGINT) AS staleness_sum
+            FROM {hours} WHERE NOT cut GROUP BY 1"""
     return {
         "p2_found": f"""SELECT DISTINCT vehicle_id, {epoch} AS event_epoch_s, coalesce(r.route_sk, 0) AS route_sk
             FROM silver_vehicle_positions p LEFT JOIN {_VERSIONS}
@@ -280,9 +303,8 @@ def oracle_sql() -> dict[str, str]:
             CAST({epoch} AS VARCHAR) AS event_key, CASE WHEN cut THEN 'cut' ELSE 'corrects' END AS outcome FROM {hours} WHERE late
             UNION SELECT 'gold_timepoint_departures', trip_id, concat_ws('/', CAST(service_date AS VARCHAR), CAST(stop_sequence AS VARCHAR)),
             CASE WHEN cut THEN 'cut' ELSE 'corrects' END FROM {days} WHERE late""",
-        "p6_hourly": f"""SELECT date_trunc('hour', event_ts) AS hour_utc, count(*) AS n_events, count(*) FILTER (WHERE late) AS n_late,
-            round(coalesce(sum(speed_mps), 0), 3) AS speed_sum, count(speed_mps) AS n_speed_mps, CAST(coalesce(sum(staleness_s), 0) AS BIGINT) AS staleness_sum
-            FROM {hours} WHERE NOT cut GROUP BY 1""",
+        "p6_hourly": hourly,
+        "p6_store_hourly": hourly,
         "p6_daily": f"""SELECT service_date, count(*) AS n_events, count(*) FILTER (WHERE late) AS n_late,
             CAST(coalesce(sum(delay_s), 0) AS BIGINT) AS delay_sum, count(delay_s) AS n_delay_s
             FROM {days} WHERE NOT cut GROUP BY 1""",

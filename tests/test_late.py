@@ -13,29 +13,53 @@ T0 = datetime(2026, 3, 1)
 SCHEMA = "vid string, at timestamp, loaded timestamp, speed double, _event int, n string"
 
 
+NEVER_CUT = Lateness(10**9, 10**10)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.tuples(st.integers(0, 99), st.integers(0, 9)), min_size=1, max_size=8), max_size=8))
 def test_replay_equals_in_place(batches):
-    fold = Fold(10, every=3)
+    fold = Fold(10, NEVER_CUT, 10, every=3)
     for b in batches:
-        touched = fold.apply(np.array([t for t, _ in b]), np.array([[1.0, v] for _, v in b]))
-        assert set(touched) == {t // 10 for t, _ in b}
+        times = np.array([t for t, _ in b])
+        assert not fold.apply(times, times * 0, [np.array([v for _, v in b])]).any()
     every = [x for b in batches for x in b]
-    want = {p: (sum(t // 10 == p for t, _ in every), sum(v for t, v in every if t // 10 == p)) for p in {t // 10 for t, _ in every}}
+    want = {p: (sum(t // 10 == p for t, _ in every), 0, sum(v for t, v in every if t // 10 == p)) for p in {t // 10 for t, _ in every}}
     assert {p: tuple(v) for p, v in fold.outputs.items()} == want
     assert np.all(np.diff(fold.times) >= 0)
-    for at, state in fold.checkpoints:
-        assert state.tolist() == fold.values[:at].sum(axis=0).tolist()
+    for at, period, state in fold.checkpoints:
+        assert period == fold.times[at - 1] // 10
+        own = slice(int(np.searchsorted(fold.times, period * 10)), at)
+        assert state == [x[own].sum() for x in fold.columns]
 
 
 def test_replay_starts_at_the_checkpoint_before():
-    fold = Fold(10, every=100)
-    fold.apply(np.arange(1000), np.ones((1000, 1)))
+    fold, one = Fold(10, NEVER_CUT, 10, every=100), np.ones(1)
+    fold.apply(np.arange(1000), np.zeros(1000, np.int64), [np.ones(1000)])
     fold.replayed = 0
-    fold.apply(np.array([950]), np.ones((1, 1)))
+    fold.apply(np.array([950]), np.zeros(1, np.int64), [one])
     assert fold.replayed <= 101
 
 
+def test_what_the_fold_did_with_each_row():
+    fold = Fold(10, Lateness(5, 20), 10)  # a period [0, 10) is published at 15 and closed at 30
+    at, us = np.array([3]), lambda s: np.array([s * 1_000_000])
+    seen = [fold.apply(at, us(s), [np.ones(1)])[0] for s in (4, 15, 16, 30, 31)]
+    assert seen == [0, 0, 1, 1, 2] and fold.outputs == {0: [4, 2, 4.0]}
+
+
+def test_a_period_keeps_its_own_extremes(spark):
+    hours = [T0 + timedelta(hours=k) for k in range(4)]
+    for big in (1e17, float("inf")):
+        rows = [("a", hours[0], hours[0], big), ("a", hours[1], hours[1], 5.0), ("a", hours[2], hours[2], 7.0), ("a", hours[3], hours[3], float("nan"))]
+        got = [(r.sum_speed, r.n_speed) for r in aware(rows_of(spark, rows)).periods().orderBy("period_s").collect()]
+        assert got == [(big, 1), (5.0, 1), (7.0, 1), (0.0, 0)]
+    n = 2**53 + 1
+    rows = spark.createDataFrame([("a", T0, T0, n), ("b", T0, T0, n)], "vid string, at timestamp, loaded timestamp, n long")
+    a = LateAware(rows, ["vid", "at"], F.unix_seconds("at"), "loaded", HOUR, HOUR, Lateness(1, 2), {"n": F.col("n")})
+    assert a.periods().first().sum_n == 2 * n
+
+
 def aware(df, **more):
     return LateAware(df, ["vid", "at"], F.unix_seconds("at"), "loaded", HOUR, HOUR, Lateness(3 * HOUR, 48 * HOUR), {"speed": F.col("speed")}, **more)
 

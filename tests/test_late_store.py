@@ -81,8 +81,20 @@ def test_only_touched_blocks_are_written(spark, lake):
     assert len(before - set(lake._pointer("hourly")["folders"])) == 1
 
 
+def test_a_period_keeps_its_own_extremes(spark, lake):
+    n = 2**53 + 1
+    st = LateStore(lake, "t", ["vid", "at"], "at", "loaded", HOUR, Lateness(3 * HOUR, 48 * HOUR), ["x", "n"], every=1)
+    rows = lambda *r: spark.createDataFrame(r, "vid string, at timestamp, loaded timestamp, x double, n long")
+    at = [T0 + timedelta(hours=k) for k in range(3)]
+    st.apply(rows(("a", at[0], T0, float("inf"), n), ("a", at[1], T0, 5.0, 1), ("a", at[2], T0, 7.0, None)))
+    st.apply(rows(("b", at[0], T0, 1.0, n), ("b", at[1], T0, 1e17, None)))
+    got = [(r.sum_x, r.sum_n, r.n_n) for r in st.periods().orderBy("period_s").collect()]
+    assert got == [(float("inf"), 2 * n, 2), (1e17 + 5.0, 1, 1), (7.0, 0, 0)]
+
+
 def test_empty_batch(spark, lake):
     st = store(lake)
     assert sum(st.apply(frame(spark, [])).values()) == 0
+    assert st.periods().collect() == [] and st.periods().columns == ["period_s", "n_events", "n_late", "sum_speed", "n_speed"]
     with pytest.raises(ValueError):
         LateStore(lake, "t", ["vid"], "at", "loaded", HOUR, Lateness(1, 2), [], block=5000)
