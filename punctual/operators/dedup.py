@@ -1,8 +1,9 @@
 """Exactly one copy of each message, without moving the messages.
 
 Only identifier, delivery order and file-row position are shuffled to select winners. The other copies' positions
-become deletion vectors, a bitmap per file and block of 16,384 rows, in the shared folder. Wide rows are then read
-file by file; each looks up its block's bitmap and is dropped if its bit is set.
+become deletion vectors, a bitmap per file and block of 16,384 rows, written to the shared folder by groups of files.
+Wide rows are then read where they lie: a task loads the vectors of the file that it reads, looks its rows up by their
+position alone, and drops those whose bit is set. Nothing is broadcast, and wide rows neither move nor leave the JVM.
 
 Defined results: null equals null in identifiers; of copies delivered at the same time the one first in file order
 (hash of the file, then row) stays; an empty table stays empty; columns of any name and type pass through.
@@ -10,22 +11,31 @@ Defined results: null equals null in identifiers; of copies delivered at the sam
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+from collections import OrderedDict
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+import pyarrow.dataset as ds
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.operators.skew import OWN
+from punctual.files import filesystem, qualified
+from punctual.operators.skew import OWN, SALT, Salts
 from punctual.session import cut, shared_path, utc_timestamps
 
 WORDS = 256
 BLOCK = 64 * WORDS
-#: Bitmaps (2 KB each) that one read broadcasts; tables with more blocks to change are read in several groups of files.
-MAX_BITMAPS = 50_000
+#: Files whose vectors are written together; a task reads those of the file it is at.
+FILES_PER_SHARD = 16
+#: Copies of one identifier that are compared with its winner in one task.
+ROWS_PER_PART = 200_000
+#: Files whose vectors a Python worker holds at once (2 KB for each block with a deleted row).
+HELD_FILES = 4
 
 
-def _file_id(path) -> object:
+def _file_id(path) -> Column:
     return F.xxhash64(F.regexp_replace(path, "^([a-z0-9]+):/*", "$1:/"))
 
 
@@ -53,10 +63,14 @@ def repeated(scan: DataFrame, identifier: Sequence[str], order: Sequence[str]) -
 
 def deletion_vectors(scan: DataFrame, identifier: Sequence[str], order: Sequence[str]) -> DataFrame:
     """(file, block, bits, n): a bitmap, in 64-bit words, of the rows in the block that aren't the winner's, and their number."""
-    many = repeated(scan, identifier, order).alias("b")
-    rows = positions(scan, identifier, order).alias("a")
-    on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in _keys(identifier)]
-    lost = rows.join(many, on).where("a.at <> b.winner").select(F.col("a.at.file").alias("file"), F.col("a.at.row").alias("row"))
+    keys = _keys(identifier)
+    many = cut(repeated(scan, identifier, order))
+    salts = Salts(many, keys, ROWS_PER_PART, counted="copies")
+    rows = salts.spread(positions(scan, identifier, order), ["at"]).alias("a")
+    on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    winners = salts.copies(many).alias("b")
+    met = rows.join(winners, [*on, F.col(f"a.{SALT}") == F.col(f"b.{SALT}")])
+    lost = met.where("a.at <> b.winner").select(F.col("a.at.file").alias("file"), F.col("a.at.row").alias("row"))
     words = lost.groupBy("file", F.expr(f"row div {BLOCK}").alias("block"), F.expr(f"int(row % {BLOCK} div 64)").alias("word")).agg(
         F.expr("bit_or(shiftleft(1L, int(row % 64)))").alias("bits")
     )
@@ -67,54 +81,81 @@ def deletion_vectors(scan: DataFrame, identifier: Sequence[str], order: Sequence
     return blocks.select("file", "block", dense.alias("bits"), "n")
 
 
+def write_vectors(scan: DataFrame, identifier: Sequence[str], order: Sequence[str]) -> tuple[str, int]:
+    """Writes the deletion vectors by groups of files; returns their folder and the number of groups."""
+    spark = scan.sparkSession
+    folder = qualified(spark, shared_path(spark, "deleted"))
+    shards = max(1, -(-len(scan.inputFiles()) // FILES_PER_SHARD))
+    vectors = deletion_vectors(scan, identifier, order).withColumn("shard", F.pmod(F.col("file"), F.lit(shards)))
+    vectors.repartition("shard").sortWithinPartitions("shard", "file", "block").write.partitionBy("shard").parquet(folder)
+    return folder, shards
+
+
+def _lookup(folder: str, shards: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Tells of (file, row) pairs whether the row is deleted; holds the vectors of the last few files."""
+    held: OrderedDict[int, dict[int, np.ndarray]] = OrderedDict()
+
+    def vectors(file: int) -> dict[int, np.ndarray]:
+        if file not in held:
+            fs, base = filesystem(f"{folder}/shard={file % shards}")
+            found = {}
+            if fs.get_file_info(base).type == pafs.FileType.Directory:  # a group without deleted rows has none
+                t = ds.dataset(base, filesystem=fs, format="parquet").to_table(columns=["block", "bits"], filter=ds.field("file") == file)
+                for block, bits in zip(t.column("block").to_pylist(), t.column("bits")):
+                    found[block] = np.asarray(bits.values, dtype="<i8").view(np.uint8)
+            held[file] = found
+            while len(held) > HELD_FILES:
+                held.popitem(last=False)
+        held.move_to_end(file)
+        return held[file]
+
+    def deleted(files: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(rows), bool)
+        if not len(rows):
+            return out
+        blocks = rows // BLOCK
+        edges = np.flatnonzero(np.r_[True, (files[1:] != files[:-1]) | (blocks[1:] != blocks[:-1])])
+        for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(rows)]):
+            bits = vectors(int(files[a])).get(int(blocks[a]))
+            if bits is not None:
+                at = rows[a:b] % BLOCK
+                out[a:b] = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+        return out
+
+    return deleted
+
+
+def marked(rows: DataFrame, folder: str, shards: int) -> tuple[DataFrame, Column]:
+    """``rows``, a scan, with the positions of its rows, and the condition that a row's bit is set.
+
+    Only the two numbers of the position go to Python, in Arrow batches; the row waits in the JVM.
+    """
+    where = rows.metadataColumn("_metadata")
+    placed = rows.select("*", _file_id(where["file_path"]).alias(f"{OWN}file"), where["row_index"].alias(f"{OWN}row"))
+    lookup: list = []
+
+    @F.pandas_udf("boolean")
+    def deleted(file: pd.Series, row: pd.Series) -> pd.Series:
+        if not lookup:
+            lookup.append(_lookup(folder, shards))
+        return pd.Series(lookup[0](file.to_numpy(), row.to_numpy()))
+
+    return placed, deleted(f"{OWN}file", f"{OWN}row")
+
+
+def _scan(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    return spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
+
+
 def exactly_once(spark: SparkSession, paths: str | Sequence[str], identifier: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The table at ``paths`` with one row of each identifier."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    scan = spark.read.parquet(*paths)
-    folder = shared_path(spark, "deleted")
-    deletion_vectors(scan, identifier, order).write.parquet(folder)
-    vectors = spark.read.parquet(folder)
-    # The driver lists the files anyway; it learns how many bitmaps each has.
-    lost = {r.file: r["count"] for r in vectors.groupBy("file").count().toLocalIterator()}
-    files = spark.createDataFrame([(f,) for f in scan.inputFiles()] or [("",)], "path string")
-    groups: list[list[str]] = [[]]
-    whole, size = [], 0
-    for path, file in files.select("path", _file_id(F.col("path"))).toLocalIterator():
-        n = lost.get(file, 0)
-        if not n:
-            whole.append(path)
-            continue
-        if groups[-1] and size + n > MAX_BITMAPS:
-            groups.append([])
-            size = 0
-        groups[-1].append(path)
-        size += n
-    if not any(groups):
-        return utc_timestamps(scan)
-    reader = spark.read.schema(scan.schema)
-    base = {} if len(paths) > 1 else {"basePath": paths[0]} if not re.search(r"\.parquet$", paths[0]) else {}
-    parts = [reader.options(**base).parquet(*whole)] if any(whole) else []
-    for group in groups:
-        read = reader.options(**base).parquet(*group)
-        names = read.columns
-        gone = vectors.select(F.col("file").alias(f"{OWN}f"), F.col("block").alias(f"{OWN}b"), F.col("bits").alias(f"{OWN}bits"))
-        if len(groups) > 1:
-            mine = spark.createDataFrame([(p,) for p in group], "path string").select(_file_id(F.col("path")).alias(f"{OWN}f"))
-            gone = gone.join(F.broadcast(mine), f"{OWN}f", "left_semi")
-        where = read.metadataColumn("_metadata")
-        row, bits = F.col(f"{OWN}row"), F.col(f"{OWN}bits")
-        tagged = read.select("*", _file_id(where["file_path"]).alias(f"{OWN}file"), where["row_index"].alias(f"{OWN}row"))
-        own_block = (F.col(f"{OWN}file") == F.col(f"{OWN}f")) & (F.expr(f"{OWN}row div {BLOCK}") == F.col(f"{OWN}b"))
-        joined = tagged.join(F.broadcast(gone), own_block, "left")
-        word = F.element_at(bits, ((row % BLOCK) / 64).cast("int") + 1)
-        deleted = bits.isNotNull() & (F.getbit(word, (row % 64).cast("int")) == 1)
-        parts.append(joined.where(~deleted).select(*[f"`{c}`" for c in names]))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return utc_timestamps(out)
-
-
-def repeated_identifiers(scan: DataFrame, identifier: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The identifiers on more than one row, each once, computed once and kept in the shared folder."""
-    return cut(repeated(scan, identifier, order).select(*[F.col(k).alias(c) for k, c in zip(_keys(identifier), identifier)]))
+    scan = _scan(spark, paths)
+    rows, gone = marked(scan, *write_vectors(scan, identifier, order))
+    return utc_timestamps(rows.where(~gone).select(*[f"`{c}`" for c in scan.columns]))
+
+
+def repeated_identifiers(spark: SparkSession, paths: str | Sequence[str], identifier: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The identifiers of the copies that the deletion vectors drop, each once: those on more than one row."""
+    scan = _scan(spark, paths)
+    rows, gone = marked(scan.select(*[f"`{c}`" for c in identifier]), *write_vectors(scan, identifier, order))
+    return utc_timestamps(rows.where(gone).select(*[f"`{c}`" for c in identifier])).distinct()

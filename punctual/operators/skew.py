@@ -19,13 +19,15 @@ MAX_BROADCAST_KEYS = 100_000
 class Salts:
     """How many parts each hot key of ``df`` is split into; keys with at most ``rows_per_part`` rows have one.
 
-    Counting reads only the key columns and is pre-aggregated in each task.
+    Counting reads only the key columns and is pre-aggregated in each task. With ``counted`` the rows are keys already,
+    that column holding their counts.
     """
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], rows_per_part: int) -> None:
+    def __init__(self, df: DataFrame, keys: Sequence[str], rows_per_part: int, counted: str | None = None) -> None:
         self.keys = list(keys)
-        hot = df.groupBy(*keys).count().where(F.col("count") > rows_per_part)
-        self.hot = cut(hot.select(*keys, F.ceil(F.col("count") / rows_per_part).cast("int").alias(PARTS)))
+        n = F.col(counted or "count")
+        hot = (df if counted else df.groupBy(*keys).count()).where(n > rows_per_part)
+        self.hot = cut(hot.select(*keys, F.ceil(n / rows_per_part).cast("int").alias(PARTS)))
         self.n = self.hot.count()
 
     def _joined(self, df: DataFrame) -> DataFrame:

@@ -52,9 +52,9 @@ def _scan(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    """Identifiers that were delivered more than once."""
-    vp = repeated_identifiers(_scan(spark, d, "silver_vehicle_positions"), POSITION, DELIVERED)
-    tu = repeated_identifiers(_scan(spark, d, "silver_trip_updates"), UPDATE, DELIVERED)
+    """Identifiers that were delivered more than once: those of the copies that the deletion vectors drop."""
+    vp = repeated_identifiers(spark, f"{d}/silver_vehicle_positions.parquet", POSITION, DELIVERED)
+    tu = repeated_identifiers(spark, f"{d}/silver_trip_updates.parquet", UPDATE, DELIVERED)
     epoch = F.unix_seconds(F.col("event_ts").cast("timestamp")).alias("event_epoch_s")
     return vp.select(
         F.lit("vehicle_positions").alias("feed"), F.col("vehicle_id").alias("entity_id"), epoch, F.lit("").alias("trip_start")
@@ -81,6 +81,26 @@ def p3_first_delivery(spark: SparkSession, d: str) -> DataFrame:
     return p3_positions(spark, d).select(*POSITION, *DELIVERED)
 
 
+def _untied(spark: SparkSession, d: str, name: str, identifier: list[str], once: DataFrame) -> DataFrame:
+    """``once`` without the identifiers whose first delivery brought differing copies, of which either may stay."""
+    rows = table(spark, d, name)
+    keys = [F.col(c).alias(f"_{c}") for c in identifier]
+    copies = rows.select(*keys, F.struct(*DELIVERED).alias("at"), F.xxhash64(*rows.columns).alias("whole"))
+    lots = copies.groupBy(*[f"_{c}" for c in identifier], "at").agg(F.min("whole").alias("a"), F.max("whole").alias("b"))
+    first = lots.groupBy(*[f"_{c}" for c in identifier]).agg(F.min(F.struct("at", (F.col("a") != F.col("b")).alias("differ"))).alias("f"))
+    return once.join(first.where("f.differ"), [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in identifier], "left_anti")
+
+
+def p3_positions_whole(spark: SparkSession, d: str) -> DataFrame:
+    """All columns of the positions that stay, where delivery order tells which one does."""
+    return _untied(spark, d, "silver_vehicle_positions", POSITION, p3_positions(spark, d))
+
+
+def p3_updates_whole(spark: SparkSession, d: str) -> DataFrame:
+    """All columns of the trip updates that stay, where delivery order tells which one does."""
+    return _untied(spark, d, "silver_trip_updates", UPDATE, p3_updates(spark, d))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Live files so small that the first level of merges takes them."""
     return small_files(table(spark, d, "data_files")).select("table_name", "path")
@@ -202,7 +222,7 @@ def queries() -> dict:
     return {
         f.__name__: f
         for f in (
-            p2_found, p2_attributes, p3_found, p3_positions, p3_updates, p3_first_delivery, p4_found, p4_plan, p4_rows, p5_found, p5_routes,
+            p2_found, p2_attributes, p3_found, p3_positions, p3_updates, p3_first_delivery, p3_positions_whole, p3_updates_whole, p4_found, p4_plan, p4_rows, p5_found, p5_routes,
             p5_stops, p6_found, p6_hourly, p6_store_hourly, p6_daily,
         )
     }
@@ -226,6 +246,14 @@ def _once(name: str, identifier: list[str]) -> str:
     )
 
 
+def _untied_sql(name: str, identifier: list[str]) -> str:
+    ids, order = ", ".join(identifier), ", ".join(f"{c} NULLS FIRST" for c in DELIVERED)
+    return (
+        f"WITH first AS (SELECT * FROM (SELECT DISTINCT * FROM {name}) QUALIFY rank() OVER (PARTITION BY {ids} ORDER BY {order}) = 1) "
+        f"SELECT * FROM first QUALIFY count(*) OVER (PARTITION BY {ids}) = 1"
+    )
+
+
 def _history_sql(spec: Tracked, name: str, columns: str) -> str:
     """Gaps and islands over what each release in force showed of each entity."""
     attrs = ", ".join(spec.columns)
@@ -290,6 +318,8 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'trip_updates', trip_id, {epoch}, coalesce(CAST(trip_start_date AS VARCHAR), '')
             FROM ({twice("silver_trip_updates", "trip_id, trip_start_date, event_ts")})""",
         "p3_first_delivery": _once("silver_vehicle_positions", POSITION).replace("*", ", ".join(POSITION + DELIVERED), 1),
+        "p3_positions_whole": _untied_sql("silver_vehicle_positions", POSITION),
+        "p3_updates_whole": _untied_sql("silver_trip_updates", UPDATE),
         "p4_found": f"WITH {_LIVE} SELECT table_name, path FROM live WHERE size_bytes < 65536",
         "p4_rows": """SELECT 'silver_vehicle_positions' AS table_name, service_date, route_id, count(*) AS n_rows,
             CAST(sum(CAST(floor(epoch(event_ts)) AS BIGINT)) AS BIGINT) AS stamp_sum FROM silver_vehicle_positions GROUP BY ALL
