@@ -1,6 +1,7 @@
 import json
 import random
 from collections import Counter
+from datetime import date
 from pathlib import Path
 
 import pyarrow as pa
@@ -9,10 +10,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from punctual.operators import compaction
-from punctual.operators.compaction import Tiers, compact, live_files, merge_files, plan, plain_path, small_files
+from punctual.operators.compaction import Tiers, compact, live_files, log_actions, merge_files, plain_path, plan, small_files, write_small
 
 LOG = "log_version long, logged_at timestamp, table_name string, log_action string, path string, service_date date, route_id string, n_rows long, size_bytes long"
-SMALL = Tiers(small=1000, fan=4, target=16_000)
+SMALL = Tiers(small=1000, fan=4, target=16_000, least=100)
 
 
 def log(spark, *rows):
@@ -40,8 +41,7 @@ def test_small_files_come_from_the_planned_first_level(spark):
     )
     small = {r.path: r for r in small_files(rows).collect()}
     assert set(small) == {"/a/0", "/a/1", "/a/3"}
-    assert small["/a/0"].first and small["/a/0"].first == small["/a/1"].first
-    assert small["/a/3"].first is None and small["/a/3"].output is None and small["/a/3"].level == 0
+    assert small["/a/0"].bin == small["/a/1"].bin == 0 and small["/a/3"].bin is None
 
 
 def files(spark, sizes, scope=lambda k: "s"):
@@ -52,24 +52,28 @@ def test_plan_is_a_partition_into_few_well_sized_files(spark):
     rnd = random.Random(4)
     sizes = [rnd.choice([0, 10, 200, 900, 3000, 15_000, 20_000]) for _ in range(800)]
     rows = plan(files(spark, sizes, lambda k: f"s{k % 3}"), ["scope"], ["route", "path"], SMALL).collect()
-    assert len(rows) == 800 and {r.path for r in rows} == {f"/f{k:05}" for k in range(800)}
-    outputs = {}
-    for r in rows:
-        outputs.setdefault((r.scope, r.output or r.path), []).append(r)
-    assert all(len(v) > 1 for (_, o), v in outputs.items() if o[0] != "/")  # a merge has several inputs
-    assert all(r.output is None for r in rows if r.size_bytes >= SMALL.done)
+    assert sum(r.n_files for r in rows) == 800 and sum(r.size_bytes for r in rows) == sum(sizes) and sum(r.n_rows for r in rows) == 8000
+    assert all((r.n_files > 1) == (r.level > 0) for r in rows) and {r.level for r in rows} >= {0, 1, 2}
     for s in ("s0", "s1", "s2"):
-        merged = [sum(r.size_bytes for r in v) for (sc, _), v in outputs.items() if sc == s]
-        assert sum(x < SMALL.done for x in merged) <= 1
-        assert all(x <= 1.5 * SMALL.target for x in merged if x != 20_000)
+        mine = [r for r in rows if r.scope == s]
+        assert sum(r.size_bytes < SMALL.done for r in mine) <= 2  # files without bytes count as some in a merge
+        assert all(r.size_bytes <= 1.5 * SMALL.target for r in mine if r.n_files > 1)
     again = plan(files(spark, sizes, lambda k: f"s{k % 3}").orderBy(F.desc("path")), ["scope"], ["route", "path"], SMALL).collect()
-    assert {(r.path, r.output) for r in rows} == {(r.path, r.output) for r in again}
+    assert set(rows) == set(again)
+
+
+def test_merges_stay_in_their_tier(spark):
+    rows = compaction.in_lots(files(spark, [10] * 30 + [2000] * 30 + [9000] * 3), ["scope"], ["path"])
+    level = compaction.plan_level(rows, ["scope"], ["path"], SMALL, 1).collect()
+    assert {(r.tier, r.size_bytes) for r in level} == {(0, 10), (1, 2000), (SMALL.levels, 9000)} and all(r.bin is None for r in level if r.size_bytes == 9000)
+    bins = Counter((r.tier, r.bin) for r in level if r.bin is not None)
+    assert all(n > 1 for n in bins.values()) and max(n for (t, _), n in bins.items() if t == 0) <= SMALL.small * SMALL.fan / SMALL.least + 1
 
 
 def test_hot_scope_goes_in_lots(spark, monkeypatch):
     monkeypatch.setattr(compaction, "FILES_PER_LOT", 50)
     rows = plan(files(spark, [100] * 500), ["scope"], ["path"], SMALL).collect()
-    assert len(rows) == 500 and len({r.output for r in rows}) <= 500 * 100 / SMALL.done + 10
+    assert sum(r.n_files for r in rows) == 500 and len(rows) <= 500 * SMALL.least / SMALL.done + 10
 
 
 def small_table(spark, place, n=60):
@@ -83,19 +87,57 @@ def scanned(spark, place):
     return compaction.list_files(spark.read.parquet(place))
 
 
+FEW = Tiers(small=2_000, fan=4, target=1 << 16, least=100)
+
+
 def test_rows_stay_exactly_as_often(spark, tmp_path):
     rows = small_table(spark, f"{tmp_path}/t")
     before = scanned(spark, f"{tmp_path}/t")
-    out = compact(spark, f"file://{tmp_path}/out", "t", before, tiers=Tiers(small=2_000, fan=4, target=1 << 20))
-    names = [r.path for r in out.collect()]
-    assert len(names) < before.count() and sum(r.n_rows for r in out.collect()) == len(rows)
+    root = f"file://{tmp_path}/out"
+    out = compact(spark, root, "t", before, tiers=FEW).collect()
+    names = [r.path for r in out]
+    assert len(names) < before.count() and sum(r.n_rows for r in out) == len(rows)
     got = Counter(tuple(r) for r in spark.read.parquet(*names).select("k", "s", "x").collect())
     assert got == Counter(rows)
+    # Level by level: what one level wrote is an input of the next, and all of it is in the journal.
+    done = compaction.committed(root)
+    levels = {t["output"].split("/")[-1]: t["level"] for t in done}
+    assert set(levels.values()) >= {1, 2}
+    for t in done:
+        assert all(levels.get(p.split("/")[-1], 0) < t["level"] for p in t["inputs"])
     # Done again, the same transactions are found in the journal and nothing is written twice.
     stamps = {p: p.stat().st_mtime_ns for p in Path(f"{tmp_path}/out").glob("*.parquet")}
-    compact(spark, f"file://{tmp_path}/out", "t", before, tiers=Tiers(small=2_000, fan=4, target=1 << 20))
+    assert sorted(r.path for r in compact(spark, root, "t", before, tiers=FEW).collect()) == sorted(names)
     assert {p: p.stat().st_mtime_ns for p in Path(f"{tmp_path}/out").glob("*.parquet")} == stamps
-    assert compaction.recover(f"{tmp_path}/out") == []
+    assert compaction.recover(root) == []
+    assert compaction.vacuum(spark, root) == len(stamps) - len(names)
+    assert Counter(tuple(r) for r in spark.read.parquet(*names).select("k", "s", "x").collect()) == Counter(rows)
+
+
+def test_broken_off_between_output_and_commit(spark, tmp_path):
+    rows = small_table(spark, f"{tmp_path}/t")
+    before, root = scanned(spark, f"{tmp_path}/t"), f"file://{tmp_path}/out"
+    first = {r.path for r in compact(spark, root, "t", before, tiers=FEW, levels=1).collect()}
+    lost = compaction.forget(spark, root, 2)
+    assert lost and len(compaction.recover(root)) == lost
+    assert {r.path for r in compact(spark, root, "t", before, tiers=FEW, levels=1).collect()} == first
+    names = [r.path for r in compact(spark, root, "t", before, tiers=FEW).collect()]
+    assert Counter(tuple(r) for r in spark.read.parquet(*names).select("k", "s", "x").collect()) == Counter(rows)
+
+
+def test_the_log_swaps_files_in_one_append(spark, lake, tmp_path):
+    days = [(d, r, k) for k in range(40) for d in (date(2026, 1, 1), date(2026, 1, 2), None) for r in ("a", None)]
+    small = write_small(spark.createDataFrame(days, "service_date date, route_id string, k int"), ["service_date", "route_id", "k"], f"file://{tmp_path}/s")
+    lake.append("log", log_actions(small.limit(0), small, "t", 1))
+    live = live_files(lake.read("log")).withColumn("path", F.col("uri"))
+    assert live.count() == len(days)
+    merged = compact(spark, f"file://{tmp_path}/out", "t", live, ["service_date"], ["route_id", "path"], FEW)
+    lake.append("log", log_actions(live, merged, "t", 2))
+    names = [r.uri for r in live_files(lake.read("log")).collect()]
+    assert len(names) < len(days) and not any("/s/" in n for n in names)
+    assert Counter(tuple(r) for r in spark.read.parquet(*names).select("service_date", "route_id", "k").collect()) == Counter(days)
+    dates = {r.service_date for r in merged.collect()}
+    assert dates == {date(2026, 1, 1), date(2026, 1, 2), None}
 
 
 def test_interrupted_merge_is_done_again(tmp_path):
@@ -105,7 +147,9 @@ def test_interrupted_merge_is_done_again(tmp_path):
     root = f"{tmp_path}/out"
     with pytest.raises(ValueError):  # a file has other rows than the log says
         merge_files(root, "t", [{**inputs[0], "n_rows": 9}, *inputs[1:]])
-    assert len(compaction.recover(root)) == 1 and not list(Path(root).glob("*.part")) and compaction.committed(root) == []
+    Path(root, "running.part").write_text("x")
+    assert len(compaction.recover(root)) == 1 and Path(root, "running.part").exists() and compaction.committed(root) == []
+    assert len(compaction.recover(root, 0)) == 1 and not list(Path(root).glob("*.part"))
     done = merge_files(root, "t", inputs)
     assert done["n_rows"] == 6 and merge_files(root, "t", inputs) == done
     t = pq.read_table(done["output"]).to_pydict()
