@@ -12,13 +12,12 @@ releases without a valid start date are left out; an empty snapshot table leaves
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: One release is one published schedule; more than this is taken for an error, since the list is held in the driver.
-MAX_RELEASES = 10_000
+from punctual.session import cut
 
 
 @dataclass(frozen=True)
@@ -47,8 +46,8 @@ def attr_hash(columns: tuple[str, ...] | list[str]) -> Column:
     return F.sha2(F.concat_ws("\u001f", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns]), 256)
 
 
-def releases_in_force(feed_info: DataFrame, old: DataFrame) -> list[tuple[date, str | None]]:
-    """(start, feed version) in order of start; of versions with one start the latest loaded counts.
+def releases_in_force(feed_info: DataFrame, old: DataFrame) -> DataFrame:
+    """(start, feed_version), one row per start day; of versions with one start the latest loaded counts.
 
     Release dates that only the old history knows are added, as loaded before all others.
     """
@@ -58,56 +57,50 @@ def releases_in_force(feed_info: DataFrame, old: DataFrame) -> list[tuple[date,
     dates = old.select(F.col("valid_from").alias("start"), "feed_version", never).unionByName(
         old.select(F.col("valid_to").alias("start"), F.lit(None).cast("string").alias("feed_version"), never)
     )
-    rows = loads.unionByName(dates).where("start is not null").groupBy("start", "feed_version").agg(F.max("loaded").alias("loaded"))
-    last = rows.groupBy("start").agg(F.max(F.struct(F.col("loaded").isNotNull(), "loaded", F.col("feed_version").isNotNull(), "feed_version")).alias("r"))
-    found = last.select("start", "r.feed_version").orderBy("start").limit(MAX_RELEASES + 1).collect()
-    if len(found) > MAX_RELEASES:
-        raise ValueError(f"more than {MAX_RELEASES} releases")
-    return [(r.start, r.feed_version) for r in found]
+    rows = loads.unionByName(dates).where("start is not null")
+    latest = F.max(F.struct(F.col("loaded").isNotNull(), "loaded", F.col("feed_version").isNotNull(), "feed_version")).alias("r")
+    return rows.groupBy("start").agg(latest).select("start", "r.feed_version")
+
+
+def applied_releases(feed_info: DataFrame, old: DataFrame, loads: DataFrame) -> DataFrame:
+    """(start, until, feed_version, fresh) of the releases that make the history; ``fresh`` if ``loads`` has the version.
+
+    Of releases without a snapshot those count that the old history reaches to. One row per day on which a release
+    begins, so the window without a partition is over days of the calendar, however large the tables are.
+    """
+    given = loads.select("feed_version").distinct().withColumn("fresh", F.lit(True))
+    reach = old.agg(F.greatest(F.max("valid_from"), F.max("valid_to")).alias("d"))
+    force = releases_in_force(feed_info, old).join(given, "feed_version", "left").withColumn("fresh", F.coalesce("fresh", F.lit(False)))
+    applied = force.where(F.col("fresh") | (F.col("start") <= reach.scalar()))
+    return applied.withColumn("until", F.lead("start").over(W.orderBy("start")))
 
 
 def full_history(old: DataFrame, snapshots: DataFrame, feed_info: DataFrame, spec: Tracked) -> DataFrame:
     """All versions, old and new: key, tracked columns, attr_hash, feed_version, valid_from, surrogate, valid_to, is_current."""
-    spark = old.sparkSession
-    force = releases_in_force(feed_info, old)
+    snapshots = snapshots.where(F.col(spec.key).isNotNull())
     # A version loaded again replaces its earlier rows, also those that the old history was built from.
-    loads = snapshots.where(F.col(spec.key).isNotNull()).groupBy("feed_version").agg(F.max("_loaded_at").alias("_loaded_at"))
-    # Only versions in force are looked up, so however many there are, at most MAX_RELEASES come to the driver.
-    in_force = spark.createDataFrame([(v,) for _, v in force if v is not None], "feed_version string").distinct()
-    given = {r.feed_version for r in loads.join(in_force, "feed_version", "left_semi").select("feed_version").collect()}
-    built = old.agg(F.max("valid_from").alias("f"), F.max("valid_to").alias("t")).first()
-    known_to = max((x for x in (built.f, built.t) if x), default=None)
-    kept = [s for s, v in force if v not in given and known_to is not None and s <= known_to]
-    applied = sorted(kept + [s for s, v in force if v in given])
-    following = dict(zip(applied, applied[1:]))
-
+    loads = snapshots.groupBy("feed_version").agg(F.max("_loaded_at").alias("_loaded_at"))
+    releases = cut(applied_releases(feed_info, old, loads))
     tracked = F.struct(*spec.columns).alias("attrs")
-    new_rel = spark.createDataFrame(
-        [(v, s, following.get(s)) for s, v in force if v in given], "feed_version string, start date, until date"
-    )
+    fresh = releases.where("fresh").join(loads, "feed_version").select("feed_version", "_loaded_at", "start", "until")
     new = (
-        snapshots.where(F.col(spec.key).isNotNull())
-        .join(loads, ["feed_version", "_loaded_at"])
-        .join(new_rel, "feed_version")
+        snapshots.join(fresh, ["feed_version", "_loaded_at"])
         .groupBy(spec.key, "start", "until", "feed_version")
         .agg(F.min(tracked).alias("attrs"))
         .select(spec.key, F.struct("start", "until", F.lit(False).alias("begins"), "feed_version", "attrs").alias("o"))
     )
-    obs = new
-    if kept:
-        starts = F.array(*[F.struct(F.lit(s).alias("start"), F.lit(following.get(s)).cast("date").alias("until")) for s in kept])
-        covered = F.filter(
-            starts, lambda r: (r["start"] >= F.col("valid_from")) & (F.col("valid_to").isNull() | (r["start"] < F.col("valid_to")))
-        )
-        before = old.where(F.col(spec.key).isNotNull()).select(
-            spec.key, F.explode(covered).alias("r"), "valid_from", "feed_version", tracked
-        )
-        obs = obs.unionByName(
-            before.select(
-                spec.key,
-                F.struct("r.start", "r.until", (F.col("r.start") == F.col("valid_from")).alias("begins"), "feed_version", "attrs").alias("o"),
-            )
+    # The days that the old history stands for, as one sorted array; each old version takes its own slice of it.
+    kept = releases.where("not fresh").agg(F.array_sort(F.collect_list(F.struct("start", "until"))).alias("days"))
+    ends = F.col("valid_to")
+    covered = F.filter("days", lambda r: (r["start"] >= F.col("valid_from")) & (ends.isNull() | (r["start"] < ends)))
+    before = old.where(F.col(spec.key).isNotNull()).withColumn("days", kept.scalar()).select(
+        spec.key, F.explode(covered).alias("r"), "valid_from", "feed_version", tracked
+    )
+    obs = new.unionByName(
+        before.select(
+            spec.key, F.struct("r.start", "r.until", (F.col("r.start") == F.col("valid_from")).alias("begins"), "feed_version", "attrs").alias("o")
         )
+    )
     # One entity has at most one observation per release, so its array is bounded by the number of releases.
     arrays = obs.groupBy(spec.key).agg(F.array_sort(F.collect_set("o")).alias("seen"))
 

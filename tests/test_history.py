@@ -1,8 +1,6 @@
 import random
 from datetime import date, datetime, timedelta
 
-import pytest
-
 from punctual.operators.history import Tracked, attr_hash, full_history
 
 SPEC = Tracked("k", ("x", "y"), "sk")
@@ -84,15 +82,13 @@ def test_like_brute_force(spark):
         assert shown(frames(spark, [], new, [(v, s, 1) for v, s in releases])) == sorted(want, key=repr)
 
 
-def test_too_many_releases(spark, monkeypatch):
-    monkeypatch.setattr("punctual.operators.history.MAX_RELEASES", 1)
-    with pytest.raises(ValueError):
-        frames(spark, [], [("v1", "A", "a", "b", 1)], [("v1", 0, 1), ("v2", 5, 1)])
-
-
-def test_more_versions_than_releases(spark, monkeypatch):
-    monkeypatch.setattr("punctual.operators.history.MAX_RELEASES", 2)
-    new = [(f"v{n}", "A", f"a{n}", None, n) for n in range(60)]  # all from one day; the last loaded is in force
+def test_many_releases_and_many_more_versions(spark):
+    new = [(f"v{n}", "A", f"a{n // 3}", None, n) for n in range(12_000)]
+    info = [(f"v{n}", n, n) for n in range(12_000)]
+    rows = shown(frames(spark, [], new, info))
+    assert len(rows) == 4000 and ("A", "a3999", None, 11_997, None) in rows and ("A", "a0", None, 0, 3) in rows
+    # All from one day: the last loaded is in force.
+    new = [(f"v{n}", "A", f"a{n}", None, n) for n in range(60)]
     for last in (7, 31, 59):
         info = [(f"v{n}", 0, 99 if n == last else n) for n in range(60)]
         assert shown(frames(spark, [], new, info)) == [("A", f"a{last}", None, 0, None)]
