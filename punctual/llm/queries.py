@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from punctual.llm.leakage import find_leaks
 from punctual.llm.lookalike import alike_pairs, fit_rewriter, normalize_texts
 from punctual.llm.prefix_bpe import encode_corpus
-from punctual.llm.rank_summary import daily_summaries, group_percentiles, merge_summaries, percentiles
-from punctual.session import table
+from punctual.llm.rank_summary import combine_days, daily_summaries, group_percentiles, percentiles
+from punctual.session import shared_path, table
 
 PERCENTILES = (0.05, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 GROUP = ["route_id", "hour_local"]
@@ -22,9 +22,37 @@ def p1_percentiles(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_daily_median(spark: SparkSession, d: str) -> DataFrame:
     """The median per route, hour and service date: the partial results that p1_percentiles combines."""
-    days = [*GROUP, "service_date"]
     rows = daily_summaries(table(spark, d, "gold_timepoint_departures"), GROUP, "service_date", "delay_s")
-    return percentiles(merge_summaries(rows, days, 0.002), days, [0.5])
+    return percentiles(rows, [*GROUP, "service_date"], [0.5])
+
+
+def p1_stored_days(spark: SparkSession, d: str) -> DataFrame:
+    """As p1_percentiles, from daily summaries that were written in two runs, each of its own service dates, and read back."""
+    rows, folder = table(spark, d, "gold_timepoint_departures"), shared_path(spark, "daily-summaries")
+    odd = F.coalesce(F.unix_date("service_date") % 2 == 1, F.lit(False))
+    for part in (rows.where(~odd), rows.where(odd)):
+        daily_summaries(part, GROUP, "service_date", "delay_s").write.mode("append").parquet(folder)
+    return percentiles(combine_days(spark.read.parquet(folder), GROUP), GROUP, PERCENTILES)
+
+
+def p1_direction_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """Percentiles per direction, large groups, and whether each lies within its stated bound of the exact ranks, counted."""
+    rows, keys, at = table(spark, d, "gold_timepoint_departures"), ["direction_id"], PERCENTILES
+    found = group_percentiles(rows, keys, "service_date", "delay_s", at)
+    asked = F.explode(F.array(*[F.struct(F.lit(q).alias("q"), F.col(f"p{100 * q:g}").alias("value")) for q in at])).alias("a")
+    answers = found.select(F.col("direction_id").alias("g"), "n", "rank_error", asked).select("g", "n", "rank_error", "a.*")
+    # The number of rows at each delay against seven answers for each direction, of which there are a few.
+    counts = rows.where("delay_s is not null").groupBy("direction_id", "delay_s").count()
+    ranked = counts.join(F.broadcast(answers), F.col("g").eqNullSafe(F.col("direction_id"))).groupBy("g", "n", "rank_error", "q").agg(
+        F.sum(F.when(F.col("delay_s") < F.col("value"), F.col("count")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("delay_s") <= F.col("value"), F.col("count")).otherwise(0)).alias("through"),
+    )
+    rank = F.greatest(F.lit(1), F.ceil(F.round(F.col("q") * F.col("n"), 9)))
+    off = F.greatest(F.col("below") + 1 - rank, rank - F.col("through"), F.lit(0))
+    return ranked.select(
+        F.col("g").alias("direction_id"), "q", "n", (off <= F.col("rank_error")).alias("within_stated"),
+        (F.col("rank_error") <= 0.002 * F.col("n") + 1).alias("within_permitted"),
+    )
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -55,17 +83,24 @@ def p9_normalized(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_percentiles, p1_daily_median, p7_ids, p8_found, p8_items, p9_found, p9_normalized)}
+    return {f.__name__: f for f in (p1_percentiles, p1_daily_median, p1_stored_days, p1_direction_bounds, p7_ids, p8_found, p8_items, p9_found, p9_normalized)}
 
 
 def oracle_sql() -> dict[str, str]:
     cols = ", ".join(
         f"CAST(quantile_disc(delay_s, {q}) AS DOUBLE) AS p{100 * q:g}" for q in PERCENTILES
     )
-    # Exact at the size of the SQL check: no group there reaches the 250 values from which summaries are compressed.
+    # Exact at the size of the SQL check: no group of a route and an hour reaches the 500 values from which summaries of
+    # a task are compressed. p1_direction_bounds has groups of thousands.
+    whole = (
+        f"SELECT route_id, hour_local, count(*) AS n, {cols}, CAST(0 AS BIGINT) AS rank_error "
+        "FROM gold_timepoint_departures WHERE delay_s IS NOT NULL GROUP BY ALL"
+    )
     return {
-        "p1_percentiles": f"SELECT route_id, hour_local, count(*) AS n, {cols}, CAST(0 AS BIGINT) AS rank_error "
-        "FROM gold_timepoint_departures WHERE delay_s IS NOT NULL GROUP BY ALL",
+        "p1_percentiles": whole,
+        "p1_stored_days": whole,
+        "p1_direction_bounds": "SELECT direction_id, q, count(*) AS n, true AS within_stated, true AS within_permitted FROM gold_timepoint_departures, "
+        f"(VALUES {', '.join(f'(CAST({q} AS DOUBLE))' for q in PERCENTILES)}) p(q) WHERE delay_s IS NOT NULL GROUP BY ALL",
         "p1_daily_median": "SELECT route_id, hour_local, service_date, count(*) AS n, "
         "CAST(quantile_disc(delay_s, 0.5) AS DOUBLE) AS p50, CAST(0 AS BIGINT) AS rank_error "
         "FROM gold_timepoint_departures WHERE delay_s IS NOT NULL GROUP BY ALL",

@@ -1,10 +1,14 @@
 """Mergeable quantile summaries with tracked rank error.
 
 A summary is a sorted list of values, each with an interval [rmin, rmax] that holds its rank (1-based, ties in any
-order) among all n values. Merging adds the intervals of both sides; compressing drops values as long as no two
+order) among all n values. Merging adds the intervals of all sides; compressing drops values as long as no two
 neighbours are further apart than the permitted uncertainty. The largest ``rmax(i) - rmin(i - 1)`` of a summary is
 its accumulated uncertainty, so any rank is answered within half of it, and every answer carries its own bound.
 
+Each stage (task, block of tasks, day, whole) may spend a quarter of the permitted error, and within a stage each
+height of the merge tree half of what is left, so every compression has room to drop values: a tree over any number of
+parts holds a bounded number of values.
+
 Defined results: null and NaN values are left out, null group keys form a group of their own, groups without a value
 give no row; results do not depend on order, partitioning or repeated merging beyond the stated bound, and are exact
 (bound 0) while a group has fewer than ``1 / (2 * eps)`` values.
@@ -23,6 +27,8 @@ from pyspark.sql import types as T
 
 SUMMARY_DDL = "n long, v array<double>, rmin array<long>, rmax array<long>"
 FLUSH_ROWS = 400_000
+FAN = 32  # summaries that are merged at once
+PARTS_PER_BLOCK = 256  # tasks whose summaries of a group meet in one task first
 
 Summary = tuple[np.ndarray, np.ndarray, np.ndarray]
 
@@ -30,47 +36,69 @@ Summary = tuple[np.ndarray, np.ndarray, np.ndarray]
 def compress(s: Summary, n: int, eps: float) -> Summary:
     """Drops values while neighbours stay within ``2 * eps * n`` ranks; the least and the greatest stay."""
     v, lo, hi = s
-    width = 2 * eps * n
+    width = int(2 * eps * n)
     if len(v) <= 2 or width < 2:
         return s
+    reach = hi - width  # whole numbers, as the ranks are
     keep, j = [len(v) - 1], len(v) - 1
     while j > 0:
-        i = int(np.searchsorted(lo, hi[j] - width, "left"))
+        i = int(lo.searchsorted(reach[j]))
         j = min(i, j - 1) if i > 0 else 0
         keep.append(j)
     at = np.array(keep[::-1])
     return v[at], lo[at], hi[at]
 
 
-def merge(a: Summary, na: int, b: Summary, nb: int) -> Summary:
-    """The summary of both: each value's interval grows by that of its neighbours on the other side."""
-
-    def moved(x: Summary, y: Summary, ny: int, side: str) -> tuple[np.ndarray, np.ndarray]:
-        k = np.searchsorted(y[0], x[0], side)  # values of y that come before
-        low = np.r_[0, y[1]][k]
-        high = np.r_[y[2] - 1, ny][k]
-        return x[1] + low, x[2] + high
+def merge(parts: Sequence[tuple[int, Summary]]) -> tuple[int, Summary]:
+    """The summary of all parts, by one sort: each value's interval grows by those of its neighbours in every other part.
 
-    la, ha = moved(a, b, nb, "left")
-    lb, hb = moved(b, a, na, "right")
-    v = np.concatenate([a[0], b[0]])
+    A part adds a step function of the value to both ends, so the ends of all parts are running sums of its steps.
+    """
+    if len(parts) == 1:
+        return parts[0]
+    v = np.concatenate([s[0] for _, s in parts])
+    low = np.concatenate([np.diff(s[1], prepend=0) for _, s in parts])
+    high = np.concatenate([np.diff(s[2], append=n + 1) for n, s in parts])
+    base = sum(int(s[2][0]) - 1 for _, s in parts)
     order = np.argsort(v, kind="stable")
-    return v[order], np.concatenate([la, lb])[order], np.concatenate([ha, hb])[order]
+    high = high[order]
+    return sum(n for n, _ in parts), (v[order], np.cumsum(low[order]), base + 1 + np.cumsum(high) - high)
+
+
+class Tree:
+    """Merges summaries, of uncertainty ``start`` at most, one after the other to one of ``eps``."""
+
+    def __init__(self, start: float, eps: float) -> None:
+        self.start, self.eps = start, eps
+        self.heights: list[list[tuple[int, Summary]]] = []
 
+    def add(self, n: int, s: Summary, height: int = 0) -> None:
+        while len(self.heights) <= height:
+            self.heights.append([])
+        here = self.heights[height]
+        here.append((n, s))
+        if len(here) == FAN:
+            n, s = merge(here)
+            here.clear()
+            spent = self.start + (self.eps - self.start) * (1 - 0.5 ** (height + 1))
+            self.add(n, compress(s, n, spent), height + 1)
 
-def merge_all(parts: list[tuple[int, Summary]], eps: float) -> tuple[int, Summary]:
-    """Pairs of similar size first, so a value goes through few merges."""
-    parts = sorted(parts, key=lambda p: p[0])
-    while len(parts) > 1:
-        nxt = []
-        for k in range(0, len(parts) - 1, 2):
-            (na, a), (nb, b) = parts[k], parts[k + 1]
-            nxt.append((na + nb, merge(a, na, b, nb)))
-        if len(parts) % 2:
-            nxt.append(parts[-1])
-        parts = nxt
-    n, s = parts[0]
-    return n, compress(s, n, eps)
+    @property
+    def held(self) -> int:
+        """Values in memory."""
+        return sum(len(s[0]) for h in self.heights for _, s in h)
+
+    def result(self) -> tuple[int, Summary]:
+        n, s = merge([p for h in self.heights for p in h])
+        return n, compress(s, n, self.eps)
+
+
+def merge_all(parts: Sequence[tuple[int, Summary]], start: float, eps: float) -> tuple[int, Summary]:
+    """One summary of uncertainty ``eps`` from parts of ``start``."""
+    tree = Tree(start, eps)
+    for n, s in parts:
+        tree.add(n, s)
+    return tree.result()
 
 
 def uncertainty(s: Summary, n: int) -> int:
@@ -145,21 +173,16 @@ def _summarise(keys: int, eps: float) -> Callable:
     return run
 
 
-def _merge_runs(keys: int, eps: float) -> Callable:
-    """Merges neighbouring rows of equal keys; the rows come sorted by key, so only one group is held at a time."""
+def _merge_runs(keys: int, start: float, eps: float) -> Callable:
+    """Merges neighbouring rows of equal keys; the rows come sorted by key, so only one group's tree is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: list[str] = []
         types: list[pa.DataType] = []
         group: tuple | None = None
-        held: list[tuple[int, Summary]] = []
+        tree: Tree | None = None
         done: list[tuple[tuple, int, Summary]] = []
 
-        def close() -> None:
-            if held:
-                done.append((group, *merge_all(held, eps)))
-                held.clear()
-
         def out() -> pa.RecordBatch:
             rows = list(done)
             done.clear()
@@ -177,15 +200,15 @@ def _merge_runs(keys: int, eps: float) -> Callable:
             bounds = [np.asarray(c.offsets) for c in cols]
             flat = [np.asarray(c.values) for c in cols]
             for r, (tag, n) in enumerate(zip(tags, sizes)):
-                if tag != group:
-                    close()
-                    group = tag
-                held.append((n, tuple(f[b[r] : b[r + 1]] for f, b in zip(flat, bounds))))
-                if len(held) >= 64:  # a group in very many parts is folded as it comes
-                    held[:] = [merge_all(held, eps / 4)]
+                if tree is None or tag != group:
+                    if tree is not None:
+                        done.append((group, *tree.result()))
+                    group, tree = tag, Tree(start, eps)
+                tree.add(n, tuple(f[b[r] : b[r + 1]] for f, b in zip(flat, bounds)))
             if len(done) >= 2000:
                 yield out()
-        close()
+        if tree is not None:
+            done.append((group, *tree.result()))
         if done:
             yield out()
 
@@ -197,27 +220,31 @@ def _ddl(df: DataFrame, keys: Sequence[str]) -> str:
 
 
 def summarise(df: DataFrame, keys: Sequence[str], value: str, eps: float) -> DataFrame:
-    """(keys, part, n, v, rmin, rmax) per task and group; no shuffle."""
+    """(keys, part, n, v, rmin, rmax) per task and group, within ``eps``; no shuffle."""
     rows = df.select(*keys, F.col(value).cast("double").alias("_value")).where("_value is not null and not isnan(_value)")
     return rows.mapInArrow(_summarise(len(keys), eps), _ddl(df, keys)).withColumn("part", F.spark_partition_id())
 
 
-def merge_summaries(df: DataFrame, keys: Sequence[str], eps: float) -> DataFrame:
-    """One summary per group of ``keys``; only summaries are shuffled."""
+def merge_summaries(df: DataFrame, keys: Sequence[str], start: float, eps: float) -> DataFrame:
+    """One summary of uncertainty ``eps`` per group of ``keys`` from those of ``start``; only summaries are shuffled."""
     rows = df.select(*keys, "n", "v", "rmin", "rmax")
     rows = rows.repartition(*keys).sortWithinPartitions(*keys) if keys else rows.coalesce(1)
-    return rows.mapInArrow(_merge_runs(len(keys), eps), _ddl(df, keys))
+    return rows.mapInArrow(_merge_runs(len(keys), start, eps), _ddl(df, keys))
 
 
 def daily_summaries(df: DataFrame, keys: Sequence[str], day: str, value: str, eps: float = 0.002) -> DataFrame:
-    """Summaries per group and day, to be stored and combined later with ``merge_summaries``.
+    """(keys, day, n, v, rmin, rmax): a summary per group and day, to be stored, and combined later with ``combine_days``.
 
-    A group that fills many tasks is first merged in eight parts, so no task gets all parts of a hot group.
+    A group's summaries from blocks of tasks are merged first, so no task gets those of all tasks.
     """
-    parts = summarise(df, [*keys, day], value, eps / 4)
-    # The salt differs only for parts of large groups; small groups have one.
-    salted = parts.withColumn("salt", F.when(F.col("n") >= 512, F.col("part") % 8).otherwise(0))
-    return merge_summaries(salted, [*keys, day, "salt"], eps / 2)
+    parts = summarise(df, [*keys, day], value, eps / 4).withColumn("block", F.expr(f"part div {PARTS_PER_BLOCK}"))
+    blocks = merge_summaries(parts, [*keys, day, "block"], eps / 4, eps / 2)
+    return merge_summaries(blocks, [*keys, day], eps / 2, eps * 3 / 4)
+
+
+def combine_days(daily: DataFrame, keys: Sequence[str], eps: float = 0.002) -> DataFrame:
+    """Summaries per group, within ``eps``, from daily ones that were made for the same ``eps``."""
+    return merge_summaries(daily, keys, eps * 3 / 4, eps)
 
 
 def percentiles(summaries: DataFrame, keys: Sequence[str], at: Sequence[float]) -> DataFrame:
@@ -231,8 +258,9 @@ def percentiles(summaries: DataFrame, keys: Sequence[str], at: Sequence[float])
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, worst = [], []
-            for n, v, lo, hi in zip(*(batch.column(c).to_pylist() for c in ("n", "v", "rmin", "rmax"))):
-                s = np.array(v), np.array(lo), np.array(hi)
+            lists = [batch.column(c) for c in ("v", "rmin", "rmax")]
+            for r, n in enumerate(batch.column("n").to_pylist()):
+                s = tuple(np.asarray(x.values)[x.offsets[r].as_py() : x.offsets[r + 1].as_py()] for x in lists)
                 answers = [query(s, n, q) for q in at]
                 found.append([a for a, _ in answers])
                 worst.append(max(b for _, b in answers))
@@ -249,4 +277,4 @@ def group_percentiles(
     df: DataFrame, keys: Sequence[str], day: str, value: str, at: Sequence[float], eps: float = 0.002
 ) -> DataFrame:
     """Percentiles per group within ``eps * n`` ranks, by way of the daily summaries."""
-    return percentiles(merge_summaries(daily_summaries(df, keys, day, value, eps), keys, eps), keys, at)
+    return percentiles(combine_days(daily_summaries(df, keys, day, value, eps), keys, eps), keys, at)

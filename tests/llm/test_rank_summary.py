@@ -6,7 +6,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from punctual.llm.rank_summary import compress, daily_summaries, group_percentiles, merge, merge_all, merge_summaries, percentiles, query, uncertainty
+from punctual.llm.rank_summary import (
+    FAN, Tree, combine_days, compress, daily_summaries, group_percentiles, merge, merge_all, percentiles, query, uncertainty,
+)
 
 
 def exact(values):
@@ -27,7 +29,7 @@ def true_error(values, x, q):
 @given(st.lists(st.lists(st.integers(0, 60), min_size=1, max_size=80), min_size=1, max_size=6), st.sampled_from([0.01, 0.05, 0.1]))
 def test_answers_keep_their_own_bound(parts, eps):
     merged = [(len(p), compress(exact(p), len(p), eps / 4)) for p in parts]
-    n, s = merge_all(merged, eps)
+    n, s = merge_all(merged, eps / 4, eps)
     every = [x for p in parts for x in p]
     assert n == len(every) and np.all(np.diff(s[0]) >= 0)
     v = np.sort(every)
@@ -42,7 +44,8 @@ def test_answers_keep_their_own_bound(parts, eps):
 
 def test_merging_exact_summaries_is_exact():
     a, b = exact([1, 1, 2, 5]), exact([1, 3, 3])
-    s = merge(a, 4, b, 3)
+    n, s = merge([(4, a), (3, b)])
+    assert n == 7
     assert s[0].tolist() == [1, 1, 1, 2, 3, 3, 5] and s[1].tolist() == s[2].tolist() == [1, 2, 3, 4, 5, 6, 7]
     assert uncertainty(s, 7) == 0
 
@@ -54,6 +57,24 @@ def test_compression_is_bounded():
     assert len(s[0]) <= 1 / 0.001 and s[0][0] == v[0][0] and s[0][-1] == v[0][-1] and uncertainty(s, 100_000) <= 101
 
 
+def test_a_tree_over_thousands_of_parts_holds_few_values():
+    rnd, eps, every = np.random.default_rng(1), 0.002, []
+    tree, most = Tree(eps / 4, eps / 2), 0
+    for _ in range(4096):
+        part = np.round(rnd.normal(size=1001), 3)
+        every.append(part)
+        tree.add(1001, compress(exact(part), 1001, eps / 4))
+        most = max(most, tree.held)
+    n, s = tree.result()
+    every = np.concatenate(every)
+    # After a merge at height h a summary has 2**h / (eps / 4) values at most, and a few.
+    assert n == len(every) and most <= FAN * 1001 + FAN * 4 / eps * 7 and len(s[0]) <= 8 / eps
+    assert uncertainty(s, n) <= eps / 2 * n + 1
+    for q in (0.001, 0.25, 0.5, 0.999):
+        x, bound = query(s, n, q)
+        assert true_error(every, x, q) <= bound <= eps / 2 * n + 1
+
+
 SCHEMA = "route string, hour int, day date, x int, n string"
 
 
@@ -90,8 +111,8 @@ def test_percentiles_within_bound(spark, data):
 def test_days_combine_to_the_whole(spark, data):
     df = rows_of(spark, data)
     daily = daily_summaries(df, ["route", "hour"], "day", "x", 0.01)
-    days = percentiles(merge_summaries(daily, ["route", "hour", "day"], 0.01), ["route", "hour", "day"], [0.5]).collect()
-    whole = percentiles(merge_summaries(daily, ["route", "hour"], 0.01), ["route", "hour"], [0.5]).collect()
+    days = percentiles(daily, ["route", "hour", "day"], [0.5]).collect()
+    whole = percentiles(combine_days(daily, ["route", "hour"], 0.01), ["route", "hour"], [0.5]).collect()
     for w in whole:
         assert w.n == sum(x.n for x in days if (x.route, x.hour) == (w.route, w.hour))
 
