@@ -1,5 +1,8 @@
 """One written form for texts that look the same.
 
+The letter table covers Latin, Greek, Cyrillic and Armenian, and the capitals of Cherokee, Coptic and Lisu; letters that
+are alike only in some fonts (Greek small alpha and a) are left apart, as are signs of one script (l and 1).
+
 Classes of look-alike code points and strings are built by union-find from rules (wide and narrow forms,
 spaces, canonical composition) and the letter table below. The most frequent member of a class in the corpus
 stands for it. Texts are rewritten greedily, longest match first, by a multi-pattern automaton; patterns of one
@@ -16,6 +19,7 @@ import sys
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -23,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from punctual.operators.skew import SALT, Salts
 from punctual.session import cut, spread
 
 # Letters of different scripts with the same shape, the Latin letter first.
@@ -31,9 +36,18 @@ SAME_SHAPE = [
     "SЅՏ", "TТΤ", "UՍ", "VѴ", "WԜ", "XХΧ", "YҮΥУ", "ZΖ",
     "aа", "cсϲ", "dԁ", "eе", "gց", "hһհ", "iі", "jјϳ", "nո", "oоοօ", "pрρ", "qԛ", "sѕ", "uս", "vνѵ", "wԝ", "xх", "yу",
     "ПΠ", "ГΓ", "ФΦ", "кκ", "μµ", "ЛΛ",
+    # Cherokee
+    "AᎪ", "BᏴ", "CᏟ", "EᎬ", "GᏀ", "HᎻ", "JᎫ", "KᏦ", "LᏞ", "MᎷ", "PᏢ", "RᎡ", "SᏚ", "TᎢ", "VᏙ", "WᎳ", "ZᏃ",
+    # Coptic
+    "BⲂ", "CⲤ", "HⲎ", "IⲒ", "KⲔ", "MⲘ", "NⲚ", "OⲞ", "PⲢ", "TⲦ", "XⲬ",
+    # Lisu
+    "Aꓮ", "Bꓐ", "Cꓚ", "Dꓓ", "Eꓰ", "Fꓝ", "Gꓖ", "Hꓧ", "Iꓲ", "Jꓙ", "Kꓗ", "Lꓡ", "Mꓟ", "Nꓠ", "Oꓳ", "Pꓑ", "Rꓣ", "Sꓢ", "Tꓔ", "Uꓴ", "Vꓦ", "Wꓪ", "Xꓫ", "Yꓬ",
+    "Zꓜ",
 ]
 # Invisible marks outside the format category.
 EXTRA_INVISIBLE = [0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180B, 0x180C, 0x180D, 0x180F, 0x3164, 0xFFA0]
+#: Rows of one written form that meet in one task.
+ROWS_PER_PART = 200_000
 KEPT_CONTROLS = "\t\n\v\f"
 #: Small nu looks like v, but its capital like N: of case-folded letters it stands with n, or n and v would be one.
 FOLDED_APART = {("v", "ν")}
@@ -69,6 +83,7 @@ class UnionFind:
             self.parent[max(ra, rb)] = min(ra, rb)
 
 
+@lru_cache(maxsize=2)
 def _rules(fold_case: bool = False) -> tuple[list[str], list[tuple[str, str]], list[tuple[str, str]]]:
     """Invisible code points, pairs of alike code points, and (code point, decomposed string) pairs.
 
@@ -263,19 +278,49 @@ def look_keys(texts: DataFrame, rewriter: Rewriter, key: str = "doc_id", column:
     return spread(texts.select(key, column)).mapInArrow(run, f"key {kind}, look binary, form binary").select(F.col("key").alias(key), "look", "form")
 
 
+def _varied(texts: DataFrame, rewriter: Rewriter, key: str, column: str) -> DataFrame:
+    """(id, look, form) of texts that share their look with another written form, computed once.
+
+    Looks with one written form are dropped by a partial aggregation, so a look on a third of all rows costs one row per
+    task.
+    """
+    keys = cut(look_keys(texts, rewriter, key, column).select(F.col(key).alias("id"), "look", "form"))
+    varied = keys.groupBy("look").agg(F.min("form").alias("lo"), F.max("form").alias("hi")).where("lo <> hi").select("look")
+    return keys.join(varied, "look", "left_semi")
+
+
+def alike_classes(texts: DataFrame, rewriter: Rewriter | None = None, key: str = "doc_id", column: str = "text") -> DataFrame:
+    """(key, class, form, n_forms, n_rows) of every text with a visible character.
+
+    ``class`` is the least key of the texts that look the same, ``form`` that of the texts that are the same string; the
+    class's forms and rows are counted. Two rows look the same if their classes are equal, and are different strings if
+    their forms aren't; a class with one form has no pair. Repeated rows of one key come out as often as they are.
+    """
+    rewriter = rewriter or fit_rewriter(texts, column)
+    keys = cut(look_keys(texts, rewriter, key, column).select(F.col(key).alias("id"), "look", "form"))
+    forms = keys.groupBy("look", "form").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+    looks = forms.groupBy("look").agg(F.min("least").alias("class"), F.count("*").alias("n_forms"), F.sum("n").alias("n_rows"))
+    # One row a form: the rows of a hot form are split before they meet it.
+    named = forms.join(looks, "look").select("form", F.col("least").alias("first"), "class", "n_forms", "n_rows", "n")
+    salts = Salts(named.select("form", "n"), ["form"], ROWS_PER_PART, counted="n")
+    rows, copies = salts.spread(keys, ["id"]), salts.copies(named)
+    return rows.join(copies, ["form", SALT]).select(F.col("id").alias(key), "class", F.col("first").alias("form"), "n_forms", "n_rows")
+
+
 def alike_pairs(texts: DataFrame, rewriter: Rewriter | None = None, key: str = "doc_id", column: str = "text") -> DataFrame:
     """Pairs (key_1 < key_2) of texts that look the same but are different strings.
 
     Written forms are paired first, each once, and rows are joined to the paired forms, so every joined row is a row
-    of the result: however many exact copies a class holds, they never meet one another. Classes with one written
-    form are dropped before by a partial aggregation.
+    of the result: however many exact copies a class holds, they never meet one another. A form on very many rows is
+    split on both sides. The pairs of large classes are many by their nature; ``alike_classes`` says the same in one row
+    per text.
     """
     rewriter = rewriter or fit_rewriter(texts, column)
-    keys = cut(look_keys(texts, rewriter, key, column).select("look", "form", F.col(key).alias("id")))
-    varied = keys.groupBy("look").agg(F.min("form").alias("lo"), F.max("form").alias("hi")).where("lo <> hi").select("look")
-    rows = keys.join(varied, "look", "left_semi")
+    rows = _varied(texts, rewriter, key, column)
+    salts = Salts(rows, ["form"], ROWS_PER_PART)
     forms = rows.select("look", "form").distinct()
     paired = forms.withColumnRenamed("form", "f1").join(forms.withColumnRenamed("form", "f2"), "look").where("f1 < f2").select("f1", "f2")
-    one, two = rows.select(F.col("form").alias("f1"), F.col("id").alias("a")), rows.select(F.col("form").alias("f2"), F.col("id").alias("b"))
-    found = paired.join(one, "f1").join(two, "f2").where("a <> b")
+    dealt = salts.spread(rows, ["id"]).select("form", SALT, "id")
+    one = salts.copies(paired.withColumnRenamed("f1", "form")).join(dealt.withColumnRenamed("id", "a"), ["form", SALT]).select("f2", "a")
+    found = salts.copies(one.withColumnRenamed("f2", "form")).join(dealt.withColumnRenamed("id", "b"), ["form", SALT]).where("a <> b")
     return found.select(F.least("a", "b").alias(f"{key}_1"), F.greatest("a", "b").alias(f"{key}_2")).distinct()

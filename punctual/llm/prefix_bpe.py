@@ -251,3 +251,23 @@ def encode_corpus(
 
     kind = texts.schema[key].dataType.simpleString()
     return spread(texts.select(key, column)).mapInArrow(run, f"key {kind}, ids array<int>").select(F.col("key").alias(key), "ids")
+
+
+def edited_alike(
+    texts: DataFrame, key: str = "doc_id", column: str = "text", name: str = "byte_bpe_50k", folder: str = TOKENIZERS,
+) -> DataFrame:
+    """(key, same): whether a text's ids after an edit in its middle and an append equal those of the edited text encoded whole."""
+    shared = texts.sparkSession.sparkContext.broadcast(Vocabulary.load(name, folder).ranks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder_of_process(name, folder, shared.value)
+        for batch in batches:
+            same = []
+            for text in batch.column(1).to_pylist():
+                kept, half = EditableText(encoder, text or ""), len(text or "") // 2
+                kept.replace(half, min(half + 3, len(kept.text)), "n't 42").append(" the end")
+                same.append(kept.ids() == encoder.encode(kept.text))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.bool_())], ["key", "same"])
+
+    kind = texts.schema[key].dataType.simpleString()
+    return spread(texts.select(key, column)).mapInArrow(run, f"key {kind}, same boolean").select(F.col("key").alias(key), "same")

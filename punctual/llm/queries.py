@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.llm.leakage import find_leaks
-from punctual.llm.lookalike import alike_pairs, fit_rewriter, normalize_texts
-from punctual.llm.prefix_bpe import encode_corpus
+from punctual.llm.lookalike import alike_classes, alike_pairs, fit_rewriter, normalize_texts
+from punctual.llm.prefix_bpe import edited_alike, encode_corpus
 from punctual.llm.rank_summary import combine_days, daily_summaries, group_percentiles, percentiles
 from punctual.session import shared_path, table
 
@@ -60,6 +60,11 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(table(spark, d, "documents"))
 
 
+def p7_edited(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose ids after an edit and an append, near which alone words are encoded again, are those of the whole text."""
+    return edited_alike(table(spark, d, "documents"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     """Every document that contains a passage of an evaluation item."""
     return find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
@@ -76,6 +81,11 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return alike_pairs(table(spark, d, "documents"))
 
 
+def p9_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with the class of documents that look like it, and its written form."""
+    return alike_classes(table(spark, d, "documents"))
+
+
 def p9_normalized(spark: SparkSession, d: str) -> DataFrame:
     """Every document's text in the one consistent form."""
     docs = table(spark, d, "documents")
@@ -83,7 +93,7 @@ def p9_normalized(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_percentiles, p1_daily_median, p1_stored_days, p1_direction_bounds, p7_ids, p8_found, p8_items, p9_found, p9_normalized)}
+    return {f.__name__: f for f in (p1_percentiles, p1_daily_median, p1_stored_days, p1_direction_bounds, p7_ids, p7_edited, p8_found, p8_items, p9_found, p9_classes, p9_normalized)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -101,6 +111,7 @@ def oracle_sql() -> dict[str, str]:
         "p1_stored_days": whole,
         "p1_direction_bounds": "SELECT direction_id, q, count(*) AS n, true AS within_stated, true AS within_permitted FROM gold_timepoint_departures, "
         f"(VALUES {', '.join(f'(CAST({q} AS DOUBLE))' for q in PERCENTILES)}) p(q) WHERE delay_s IS NOT NULL GROUP BY ALL",
+        "p7_edited": "SELECT doc_id, true AS same FROM documents",
         "p1_daily_median": "SELECT route_id, hour_local, service_date, count(*) AS n, "
         "CAST(quantile_disc(delay_s, 0.5) AS DOUBLE) AS p50, CAST(0 AS BIGINT) AS rank_error "
         "FROM gold_timepoint_departures WHERE delay_s IS NOT NULL GROUP BY ALL",

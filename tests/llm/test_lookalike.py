@@ -4,7 +4,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from punctual.llm.lookalike import Rewriter, UnionFind, alike_pairs, fit_rewriter, normalize_texts, unit_frequencies
+from punctual.llm import lookalike
+from punctual.llm.lookalike import Rewriter, UnionFind, alike_classes, alike_pairs, fit_rewriter, normalize_texts, unit_frequencies
 
 R = Rewriter()
 
@@ -65,6 +66,19 @@ def test_empty_table(spark):
     assert alike_pairs(docs).count() == 0 and normalize_texts(docs, R).count() == 0
 
 
-def test_hot_class_of_copies(spark):
+def test_classes_say_what_the_pairs_say(spark):
+    rows = [(1, "Oh no"), (2, "Оh nо"), (3, "Oh no"), (4, "Oh no"), (5, "oh no"), (6, None), (7, ""), (8, "​"), (5, "oh no"), (9, "LISU"), (10, "ꓡꓲꓢꓴ")]
+    docs = spark.createDataFrame([(i, t, "k", 0) for i, t in rows], "doc_id long, text string, form string, n long")
+    got = sorted(map(tuple, alike_classes(docs).collect()))
+    assert got == [(1, 1, 1, 3, 4), (2, 1, 2, 3, 4), (3, 1, 3, 3, 4), (4, 1, 1, 3, 4), (5, 5, 5, 1, 2), (5, 5, 5, 1, 2), (9, 9, 9, 2, 2), (10, 9, 10, 2, 2)]
+    pairs = {(a[0], b[0]) for a in got for b in got if a[0] < b[0] and a[1] == b[1] and a[2] != b[2]}
+    assert {tuple(r) for r in alike_pairs(docs).collect()} == pairs
+    assert alike_classes(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("rows", [200_000, 100])
+def test_hot_class_of_copies(spark, monkeypatch, rows):
+    monkeypatch.setattr(lookalike, "ROWS_PER_PART", rows)  # 100: the hot form is split
     docs = spark.range(3000).selectExpr("id as doc_id", "if(id % 3 = 0, 'same text', concat('t', id)) as text").unionByName(spark.createDataFrame([(9000, "ѕame text")], "doc_id long, text string"))
     assert alike_pairs(docs).count() == 1000
+    assert alike_classes(docs).where("class = 0 and n_rows = 1001 and n_forms = 2").count() == 1001
