@@ -64,7 +64,8 @@ def apply_release(lake, table: str, release: DataFrame, spec: Tracked) -> dict[s
     first = release.select("valid_from").first()
     if first is None:
         raise ValueError(f"{table}: the release is empty")
-    current = lake.read(table) if lake.exists(table) else empty_dimension(lake.spark, spec)
+    since = lake.version(table)
+    current = lake.read(table) if since else empty_dimension(lake.spark, spec)
     latest = current.where("is_current").agg(F.max("valid_from")).first()[0]
     if latest is not None and first.valid_from < latest:
         raise ValueError(f"{table}: the release of {first.valid_from} is older than the versions of {latest}")
@@ -74,7 +75,7 @@ def apply_release(lake, table: str, release: DataFrame, spec: Tracked) -> dict[s
         done = {"inserted": changes.get("inserted", 0), "closed": changes.get("closed", 0)}
         if latest == first.valid_from and done["closed"]:
             raise ValueError(f"{table}: another release of {latest} was applied already")
-        lake.overwrite(table, after.drop("_change"), done="scd2", **done)
+        lake.overwrite(table, after.drop("_change"), done="scd2", since=since, **done)
         return done
     finally:
         after.unpersist()

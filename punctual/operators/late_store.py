@@ -103,6 +103,7 @@ class LateStore:
             total, refused = rows.count(), rows.where(F.col("outcome") == CUT).count()
             fresh = rows.where(F.col("outcome") != CUT)
             # A few blocks for each day of event time in the batch.
+            since = self.lake.version(self.table)
             blocks = sorted(r.block for r in fresh.select("block").distinct().toLocalIterator())
             held = self._held(blocks)
             if held is not None and blocks:
@@ -111,7 +112,7 @@ class LateStore:
             fresh = cut(fresh)  # what is known is decided before anything is replaced
             counts = {r.outcome: r["count"] for r in fresh.groupBy("outcome").count().collect()}
             if counts:
-                self._replay(fresh)
+                self._replay(fresh, since)
             return {
                 "on_time": counts.get(ON_TIME, 0), "corrects": counts.get(CORRECTS, 0), "cut": refused,
                 "known": total - refused - sum(counts.values()),
@@ -119,7 +120,7 @@ class LateStore:
         finally:
             rows.unpersist()
 
-    def _replay(self, fresh: DataFrame) -> None:
+    def _replay(self, fresh: DataFrame, since: int) -> None:
         group = ["block", "part"]
         touched = sorted(r.block for r in fresh.select("block").distinct().toLocalIterator())
         held = self._held(touched)
@@ -146,7 +147,7 @@ class LateStore:
             replayed = done.groupBy(*group).agg(F.max("since").alias("since"), F.lit(1).alias("hit"))
             stay = held.join(replayed, group, "left").where((F.col("kind") == EVENT) | F.col("hit").isNull() | (F.col("at") <= F.col("since")))
             rows = rows.unionByName(stay.select(rows.columns))
-        self.lake.replace_partitions(self.table, rows, "block", touched)
+        self.lake.replace_partitions(self.table, rows, "block", touched, since)
 
     def periods(self) -> DataFrame:
         """(period_s, n_events, n_late, then sum and non-null count of each summed column), all batches in place."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -42,20 +44,46 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read: ``spark.checkpoint.dir`` of the session.
 
-    Only where it is unset (tests, a single machine) a folder is made here and set.
+    Only on a single machine (``local[...]``, as in tests) a folder is made where it is unset; on a cluster that is an
+    error, as a folder of the driver's disk is of no use to executors.
     """
     sc = spark.sparkContext
     place = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not place:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors can read")
         place = "file://" + tempfile.mkdtemp(prefix="punctual-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(place)
     return place
 
 
+_MADE: list[tuple[SparkSession, str]] = []
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    """A fresh path below the shared folder, which ``release`` removes, as does the end of the program."""
+    where = os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    if not _MADE:
+        atexit.register(release)
+    _MADE.append((spark, where))
+    return where
+
+
+def release(spark: SparkSession | None = None) -> int:
+    """Removes what was written to paths of ``shared_path`` (of one session), once its results are used; returns how many."""
+    done = 0
+    for made in list(_MADE):
+        owner, where = made
+        if spark is not None and owner is not spark:
+            continue
+        _MADE.remove(made)
+        try:
+            path = owner._jvm.org.apache.hadoop.fs.Path(where)
+            done += path.getFileSystem(owner._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception:  # the session is gone, and its folder is its owner's to clear
+            continue
+    return done
 
 
 def cut(df: DataFrame) -> DataFrame:

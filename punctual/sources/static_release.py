@@ -46,7 +46,9 @@ def load(lake, archive: Path, folder: Path) -> dict[str, int]:
     version = version_of(archive)
     done = {}
     for path in extract(archive, folder / version):
-        rows = lake.spark.read.option("header", True).option("inferSchema", False).csv(path.absolute().as_uri()).drop("feed_version").select(
+        # Unpacked here, read everywhere: tasks get the texts from the lake's own storage.
+        text = lake.put(path, f"_releases/{version}/{path.name}")
+        rows = lake.spark.read.option("header", True).option("inferSchema", False).csv(text).drop("feed_version").select(
             "*", F.lit(version).alias("feed_version"), F.col("_metadata.file_path").alias("_source_file"), F.current_timestamp().alias("_loaded_at")
         )
         table = f"static_{path.stem}"

@@ -60,7 +60,7 @@ def load(lake, session: Any, now: datetime) -> dict[str, int]:
     rows = hours(lake.spark, fetch(session, *window(now.date())), now).persist()
     n = rows.count()
     if n:
-        lake.upsert("silver_weather_hourly", rows, ["hour_utc"])
+        lake.upsert("silver_weather_hourly", rows, ["hour_utc"], ["local_date"])  # the date follows from the hour
     rows.unpersist()
     publish(lake)
     return {"hours": n}

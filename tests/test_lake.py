@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from punctual.sources.lake import TableMissing
+from punctual.sources.lake import Conflict, TableMissing
 
 
 def rows(spark, *given, schema="k string, n int"):
@@ -51,6 +51,58 @@ def test_upsert(spark, lake):
         lake.upsert("t", rows(spark, ("z", 1), ("z", 2)), ["k"])
 
 
+def test_upsert_is_null_safe_and_writes_its_partitions_alone(spark, lake):
+    lake.upsert("t", rows(spark, (None, 1), ("b", 2)), ["k"])
+    lake.upsert("t", rows(spark, (None, 5)), ["k"])
+    assert got(lake) == [("b", 2), (None, 5)]
+    lake.upsert("p", rows(spark, ("a", 1), ("b", 2), ("c", None)), ["k"], ["n"])
+    before = set(lake._pointer("p")["folders"])
+    lake.upsert("p", rows(spark, ("a2", 1), ("c", None), ("d", 4)), ["k"])
+    assert got(lake, "p") == [("a", 1), ("a2", 1), ("b", 2), ("c", None), ("d", 4)]
+    assert len(before & set(lake._pointer("p")["folders"])) == 1
+
+
+def test_no_commit_is_lost(spark, lake):
+    lake.overwrite("t", rows(spark, ("a", 1)))
+    since, stale = lake.version("t"), lake._pointer("t")
+    lake.append("t", rows(spark, ("b", 2)))
+    with pytest.raises(Conflict):  # made from what the append has changed
+        lake.overwrite("t", rows(spark, ("z", 9)), since=since)
+    with pytest.raises(Conflict):  # two writers began from one version
+        lake._commit("t", stale["folders"], lake.schema("t"), (), "overwrite", stale)
+    assert got(lake) == [("a", 1), ("b", 2)]
+
+
+def test_append_and_insert_begin_anew_after_another_commit(spark, lake, monkeypatch):
+    lake.create_like("t", rows(spark))
+    write, other = lake._write, []
+
+    def slow(*args):
+        done = write(*args)
+        if not other:
+            other.append(1)
+            lake.append("t", rows(spark, ("a", 1)))
+        return done
+
+    monkeypatch.setattr(lake, "_write", slow)
+    lake.append("t", rows(spark, ("b", 2)))
+    other.clear()
+    assert lake.insert_new("t", rows(spark, ("a", 1), ("c", 3)), ["k"]) == 1
+    assert sorted(x for x, _ in got(lake)) == ["a", "a", "b", "c"]
+
+
+def test_failed_append_leaves_the_table(spark, lake):
+    lake.append("t", rows(spark, ("a", 1)))
+    files = lake.detail("t")["num_files"]
+    with pytest.raises(Exception):
+        lake.append("t", rows(spark, ("b", 1)).withColumn("n", F.raise_error(F.lit("broken")).cast("int")))
+    assert got(lake) == [("a", 1)] and lake.detail("t")["num_files"] == files
+    many = [lake.append("t", rows(spark, ("c", n))) for n in range(25)]
+    assert len(many) == 25 and lake.read("t").count() == 26 and lake.version("t") == 26
+    lake.cluster("t", ["n"])
+    assert lake.detail("t")["num_files"] == 1 and lake.read("t").count() == 26
+
+
 def test_replace_range_deletes_what_is_no_more(spark, lake):
     lake.overwrite("t", rows(spark, ("a", 1), ("b", 2), ("c", 3), ("d", None)))
     lake.replace_range("t", rows(spark, ("B", 2)), "n", 2, 3)
