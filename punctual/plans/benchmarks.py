@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable
 from datetime import UTC, datetime
@@ -10,6 +11,9 @@ from statistics import median
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from punctual.plans.relations import Relation, table
+
+_LABEL = re.compile(r"[\w.-]+")
 CLUSTERED = {
     "silver_vehicle_positions": ["service_date", "route_id"], "silver_trip_updates": ["service_date", "route_id"],
     "gold_timepoint_departures": ["service_date", "route_id"], "gold_headways": ["service_date", "route_id"],
@@ -20,14 +24,13 @@ RESULT = (
 
 
 def busiest_route_last_day(rows: DataFrame) -> DataFrame:
-    """Rows of the last service date and the route with most rows (ties: the last id).
+    """Rows of the route with most rows (ties: the last id) on its last service date.
 
     Both values come from the table itself as scalar subqueries, so the scan prunes by them at run time.
     """
-    per_route = rows.where("route_id is not null").groupBy("route_id").count()
-    day = rows.agg(F.max("service_date")).scalar()
-    route = per_route.agg(F.max_by("route_id", F.struct("count", "route_id"))).scalar()
-    return rows.where((F.col("service_date") == day) & (F.col("route_id") == route))
+    routes = rows.where("route_id is not null").groupBy("route_id").agg(F.count("*").alias("n"), F.max("service_date").alias("last"))
+    busiest = lambda c: routes.agg(F.max_by(c, F.struct("n", "route_id"))).scalar()
+    return rows.where((F.col("service_date") == busiest("last")) & (F.col("route_id") == busiest("route_id")))
 
 
 def pings_by_vehicle(rows: DataFrame) -> DataFrame:
@@ -64,14 +67,14 @@ def timed(make: Callable[[], DataFrame], repeats: int = 5) -> list[float]:
 def measure(lake, label: str, repeats: int = 5) -> list[tuple]:
     """Times the reads, the first run apart, notes each table's files, and appends both to ``ops_benchmarks``."""
     now, rows = datetime.now(UTC), []
-    for name, (table, read) in READS.items():
-        if lake.exists(table):
-            first, *rest = timed(lambda read=read, table=table: read(lake.read(table)), repeats + 1)
+    for name, (source, read) in READS.items():
+        if lake.exists(source):
+            first, *rest = timed(lambda read=read, source=source: read(lake.read(source)), repeats + 1)
             rows.append((label, now, "query", name, first, median(rest), repeats, None, None))
-    for table in CLUSTERED:
-        if lake.exists(table):
-            d = lake.detail(table)
-            rows.append((label, now, "table", table, None, None, None, d["num_files"], d["size_bytes"]))
+    for source in CLUSTERED:
+        if lake.exists(source):
+            d = lake.detail(source)
+            rows.append((label, now, "table", source, None, None, None, d["num_files"], d["size_bytes"]))
     lake.append("ops_benchmarks", lake.spark.createDataFrame(rows, RESULT))
     return rows
 
@@ -81,11 +84,17 @@ def cluster_all(lake) -> dict[str, dict]:
     return {t: lake.cluster(t, keys) for t, keys in CLUSTERED.items() if lake.exists(t)}
 
 
-def compared(results: DataFrame, before: str = "before", after: str = "after") -> DataFrame:
-    """Both labels side by side, with how much faster the second is."""
-    of = lambda label, end: results.where(F.col("label") == label).select(
-        "kind", "name", F.col("num_files").alias(f"files_{end}"), F.col("median_s").alias(f"median_s_{end}")
+def comparison(before: str = "before", after: str = "after") -> Relation:
+    """Benchmarks of two labels side by side, with how much faster the second is."""
+    for label in (before, after):
+        if not _LABEL.fullmatch(label):
+            raise ValueError(f"not a label: {label!r}")
+    side = lambda label, end: table("ops_benchmarks").where(f"label = '{label}'").columns(
+        "kind", "name", f"num_files as files_{end}", f"median_s as median_s_{end}"
     )
-    joined = of(before, "before").join(of(after, "after"), ["kind", "name"])
-    gain = F.col("median_s_before") - F.col("median_s_after")
-    return joined.withColumn("pct_faster", F.round(F.lit(100.0) * gain / F.col("median_s_before"), 1)).orderBy(F.desc("kind"), "name")
+    gain = "round(100d * (median_s_before - median_s_after) / median_s_before, 1) as pct_faster"
+    return side(before, "before").joined(side(after, "after"), ["kind", "name"]).columns("*", gain).ordered("kind desc", "name")
+
+
+def compared(results: DataFrame, before: str = "before", after: str = "after") -> DataFrame:
+    return comparison(before, after).frame({"ops_benchmarks": results})

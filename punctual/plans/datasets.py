@@ -1,104 +1,144 @@
-"""The published datasets: small tables of counts, so that any roll-up of them stays exact."""
+"""The published datasets: small tables of counts, so that any roll-up of them stays exact; as DataFrames or SQL text."""
 
 from __future__ import annotations
 
+import csv
 import json
 import os
-from collections.abc import Callable
+from collections.abc import Sequence
 from dataclasses import asdict
 from datetime import UTC, datetime
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctual.operators.marts import GRADING
 from punctual.plans import metrics
+from punctual.plans.relations import Relation, table
 
 # Weekday rush hours by scheduled local hour, and weekend days.
 RUSH_HOURS = (6, 7, 8, 16, 17, 18)
 WEEKEND = ("Sat", "Sun")
 
 
-def in_rush() -> Column:
-    return ~F.col("day_of_week").isin(*WEEKEND) & F.col("hour_local").isin(*RUSH_HOURS)
+IN_RUSH = f"(hour_local in {RUSH_HOURS} and day_of_week not in {WEEKEND})"
+DAY_TYPE = f"if(day_of_week in {WEEKEND}, 'weekend', 'weekday') as day_type"
+DEP, GAPS = table("gold_timepoint_departures"), table("gold_headways")
+MEAN_DELAY = "round(avg(delay_s), 1) as avg_delay_s"
 
 
-def day_type() -> Column:
-    return F.when(F.col("day_of_week").isin(*WEEKEND), "weekend").otherwise("weekday")
+def graded(*statuses: str) -> list[str]:
+    return ["count(*) as departures", *[f"count_if(otp_status = '{s}') as {s}" for s in statuses]]
 
 
-def graded(*statuses: str) -> list[Column]:
-    return [F.count_if(F.col("otp_status") == s).alias(s) for s in statuses]
+def spaced(*statuses: str) -> list[str]:
+    return ["count(*) as headways", *[f"count_if(headway_status = '{s}') as {s}" for s in statuses]]
 
 
-def spaced(*statuses: str) -> list[Column]:
-    return [F.count("*").alias("headways"), *[F.count_if(F.col("headway_status") == s).alias(s) for s in statuses]]
+def zero(*columns: str) -> list[str]:
+    return [f"coalesce({c}, 0) as {c}" for c in columns]
 
 
-def zero_for_none(rows: DataFrame, *columns: str) -> DataFrame:
-    return rows.fillna(0, subset=list(columns))
+def current(dim: str, *columns: str) -> Relation:
+    return table(dim).where("is_current").columns(*columns)
 
 
-def current(dim: DataFrame, *columns: str) -> DataFrame:
-    return dim.where("is_current").select(*columns)
-
-
-def route_summary(dep: DataFrame, gaps: DataFrame, routes: DataFrame) -> DataFrame:
-    """Per route: punctuality overall and at rush hour, delay, bunching, and the current names."""
-    rush = in_rush()
-    per_route = dep.groupBy("route_id").agg(
-        F.count("*").alias("departures"), *graded("on_time", "early", "late"), F.round(F.avg("delay_s"), 1).alias("avg_delay_s"),
-        F.percentile("delay_s", 0.9).alias("p90_delay_s"), F.count_if(rush).alias("rush_departures"),
-        F.count_if(rush & (F.col("otp_status") == "on_time")).alias("rush_on_time"), F.count_distinct("service_date").alias("days"),
+#: Per route: punctuality overall and at rush hour, delay, bunching, and the current names.
+ROUTE_SUMMARY = (
+    DEP.grouped(
+        ["route_id"], *graded("on_time", "early", "late"), MEAN_DELAY, "percentile(delay_s, 0.9) as p90_delay_s", f"count_if({IN_RUSH}) as rush_departures",
+        f"count_if({IN_RUSH} and otp_status = 'on_time') as rush_on_time", "count(distinct service_date) as days",
     )
-    spacing = gaps.groupBy("route_id").agg(*spaced("bunched", "gapped"))
-    named = per_route.join(spacing, "route_id", "left").join(current(routes, "route_id", "route_short_name", "route_long_name"), "route_id", "left")
-    names = ["route_id", "route_short_name", "route_long_name"]
-    out = zero_for_none(named, "headways", "bunched", "gapped")
-    return out.select(*names, *[c for c in out.columns if c not in names]).orderBy("route_id")
-
-
-def route_hour(dep: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Per route, weekday or weekend, and hour; cells that only one side has are kept."""
-    cell = ["route_id", "day_type", "hour_local"]
-    left = dep.withColumn("day_type", day_type()).groupBy(*cell).agg(
-        F.count("*").alias("departures"), *graded("on_time", "late", "early"), F.sum("delay_s").alias("delay_s_sum")
+    .joined(GAPS.grouped(["route_id"], *spaced("bunched", "gapped")), ["route_id"], "left")
+    .joined(current("dim_routes", "route_id", "route_short_name", "route_long_name"), ["route_id"], "left")
+    .columns(
+        "route_id", "route_short_name", "route_long_name", "departures", "on_time", "early", "late", "avg_delay_s", "p90_delay_s", "rush_departures",
+        "rush_on_time", "days", *zero("headways", "bunched", "gapped"),
     )
-    right = gaps.withColumn("day_type", day_type()).groupBy(*cell).agg(*spaced("bunched", "gapped"))
-    both = left.join(right, cell, "full_outer")
-    return zero_for_none(both, *[c for c in both.columns if c not in cell]).orderBy(*cell)
-
-
-def daily(dep: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Per service date: departures, on time, routes and vehicles seen, headways."""
-    left = dep.groupBy("service_date").agg(
-        F.min("day_of_week").alias("day_of_week"), F.count("*").alias("departures"), *graded("on_time"),
-        F.count_distinct("route_id").alias("routes"), F.count_distinct("vehicle_id").alias("vehicles"),
+    .ordered("route_id")
+)
+_CELL = ["route_id", "day_type", "hour_local"]
+#: Per route, weekday or weekend, and hour; cells that only one side has are kept.
+ROUTE_HOUR = (
+    DEP.columns("*", DAY_TYPE).grouped(_CELL, *graded("on_time", "late", "early"), "sum(delay_s) as delay_s_sum")
+    .joined(GAPS.columns("*", DAY_TYPE).grouped(_CELL, *spaced("bunched", "gapped")), _CELL, "full")
+    .columns(*_CELL, *zero("departures", "on_time", "late", "early", "delay_s_sum", "headways", "bunched", "gapped"))
+    .ordered(*_CELL)
+)
+#: Per service date: departures, on time, routes and vehicles seen, headways.
+DAILY = (
+    DEP.grouped(
+        ["service_date"], "min(day_of_week) as day_of_week", *graded("on_time"), "count(distinct route_id) as routes", "count(distinct vehicle_id) as vehicles"
     )
-    right = gaps.groupBy("service_date").agg(*spaced("bunched"))
-    return zero_for_none(left.join(right, "service_date", "left"), "headways", "bunched").orderBy("service_date")
-
-
-def stops(dep: DataFrame, gaps: DataFrame, dim: DataFrame) -> DataFrame:
-    """Per stop with a current version: its place, punctuality, and the routes that were graded there."""
-    left = dep.groupBy("stop_id").agg(
-        F.count("*").alias("departures"), *graded("on_time"), F.round(F.avg("delay_s"), 1).alias("avg_delay_s"),
-        F.count_distinct("route_id").alias("routes"), F.concat_ws(" ", F.sort_array(F.collect_set("route_id"))).alias("route_ids"),
+    .joined(GAPS.grouped(["service_date"], *spaced("bunched")), ["service_date"], "left")
+    .columns("service_date", "day_of_week", "departures", "on_time", "routes", "vehicles", *zero("headways", "bunched"))
+    .ordered("service_date")
+)
+#: Per stop with a current version: its place, punctuality, and the routes that were graded there.
+STOPS = (
+    DEP.grouped(
+        ["stop_id"], *graded("on_time"), MEAN_DELAY, "count(distinct route_id) as routes", "array_join(sort_array(collect_set(route_id)), ' ') as route_ids"
+    )
+    .joined(current("dim_stops", "stop_id", "stop_name", "try_cast(stop_lat as double) as lat", "try_cast(stop_lon as double) as lon"), ["stop_id"])
+    .joined(GAPS.grouped(["stop_id"], *spaced("bunched")), ["stop_id"], "left")
+    .columns("stop_id", "departures", "on_time", "avg_delay_s", "routes", "route_ids", "stop_name", "lat", "lon", *zero("headways", "bunched"))
+    .ordered("stop_id")
+)
+#: Wet against dry hours, at rush hour and otherwise, with delays weighted by departures.
+WEATHER = (
+    table("gold_route_hour_weather")
+    .grouped(
+        ["if(is_wet, 'wet', 'dry') as weather", f"{IN_RUSH} as rush"], "count(distinct service_date, hour_local) as hours", "sum(departures) as departures",
+        "sum(on_time) as on_time", "round(sum(avg_delay_s * departures) / sum(departures), 1) as avg_delay_s",
     )
-    right = gaps.groupBy("stop_id").agg(*spaced("bunched"))
-    place = current(dim, "stop_id", "stop_name", F.col("stop_lat").try_cast("double").alias("lat"), F.col("stop_lon").try_cast("double").alias("lon"))
-    return zero_for_none(left.join(place, "stop_id").join(right, "stop_id", "left"), "headways", "bunched").orderBy("stop_id")
+    .ordered("weather", "rush")
+)
+# A stop-day as one value: its parts may be null, and then equal another's null.
+_PLACE = "struct(service_date, route_id, direction_id, stop_id) as place"
+#: The stop-day with the most bunched headways among those with at least six; ties go by a total order.
+WORST_STOP_DAY = (
+    GAPS.columns(_PLACE, "headway_status").grouped(["place"], *spaced("bunched")).where("headways >= 6")
+    .columns("place", "headways", "bunched", "place.service_date as d", "place.route_id as r", "place.stop_id as s", "place.direction_id as i")
+    .ordered("bunched desc", "headways desc", "d desc", "r", "s", "i", first=1)
+    .columns("place")
+)
+#: Every bus of the worst stop-day, scheduled and observed, with its headway.
+BUNCHING_EXAMPLE = (
+    DEP.columns("*", _PLACE).joined(WORST_STOP_DAY, ["place"], "left semi")
+    .joined(GAPS.columns(_PLACE, "trip_id", "headway_s", "sched_headway_s", "headway_status"), ["place", "trip_id"], "left")
+    .joined(current("dim_stops", "stop_id", "stop_name"), ["stop_id"], "left")
+    .columns(
+        "service_date", "route_id", "direction_id", "stop_id", "stop_name", "trip_id", "vehicle_id", "unix_seconds(scheduled_ts) as scheduled_epoch",
+        "unix_seconds(observed_ts) as observed_epoch", "delay_s", "headway_s", "sched_headway_s", "headway_status",
+    )
+    .ordered("observed_epoch", "trip_id")
+)
+#: Each attempt of a scheduled run with its time, rows added and freshness.
+PIPELINE_RUNS = (
+    metrics.LOG.where(f"run_id <> '{metrics.MANUAL}'")
+    .columns(
+        "run_id", "step", "status", "unix_seconds(started_at) as started_epoch", f"{metrics.TOOK_S} as duration_s",
+        f"{' + '.join(metrics.ADDED)} as bronze_rows", f"{metrics.logged('freshness_s', 'int')} as freshness_s",
+    )
+    .ordered("started_epoch", "run_id", "step")
+)
+#: Per check: runs, passes, rows failed and checked.
+DQ_CHECKS = metrics.RESULTS.grouped(
+    ["check_name", "table_name", "severity"], "count(*) as runs", "count_if(passed) as passed", "sum(failed) as rows_failed", "sum(total) as rows_checked"
+).ordered("severity", "check_name")
+
+DATASETS: dict[str, Relation] = {
+    "route_summary": ROUTE_SUMMARY, "route_hour": ROUTE_HOUR, "daily": DAILY, "stops": STOPS, "weather": WEATHER, "bunching_example": BUNCHING_EXAMPLE,
+    "pipeline_runs": PIPELINE_RUNS, "dq_checks": DQ_CHECKS,
+}
 
 
-def weather(hours: DataFrame) -> DataFrame:
-    """Wet against dry hours, at rush hour and otherwise, with delays weighted by departures."""
-    total = F.sum("departures")
-    return hours.groupBy(F.when(F.col("is_wet"), "wet").otherwise("dry").alias("weather"), in_rush().alias("rush")).agg(
-        F.count_distinct("service_date", "hour_local").alias("hours"), total.alias("departures"), F.sum("on_time").alias("on_time"),
-        F.round(F.sum(F.col("avg_delay_s") * F.col("departures")) / total, 1).alias("avg_delay_s"),
-    ).orderBy("weather", "rush")
+def of(name: str, *tables: DataFrame) -> DataFrame:
+    """A dataset from its tables, in the order of ``DATASETS[name].tables``."""
+    found = DATASETS[name]
+    return found.frame(dict(zip(found.tables, tables, strict=True)))
 
 
 def route_hour_weather(performance: DataFrame, weather_hours: DataFrame) -> DataFrame:
@@ -108,67 +148,12 @@ def route_hour_weather(performance: DataFrame, weather_hours: DataFrame) -> Data
     return performance.join(w, same_hour).drop("local_date", "local_hour")
 
 
-STOP_DAY = ["service_date", "route_id", "direction_id", "stop_id"]
-
-
-def worst_stop_day(gaps: DataFrame, least: int = 6) -> DataFrame:
-    """The stop-day with the most bunched headways among those with at least ``least``; ties go by a total order."""
-    counted = gaps.groupBy(*STOP_DAY).agg(*spaced("bunched")).where(F.col("headways") >= least)
-    order = [F.desc("bunched"), F.desc("headways"), F.desc("service_date"), F.asc("route_id"), F.asc("stop_id"), F.asc("direction_id")]
-    return counted.orderBy(*order).limit(1).select(*STOP_DAY)
-
-
-def bunching_example(dep: DataFrame, gaps: DataFrame, dim: DataFrame) -> DataFrame:
-    """Every bus of the worst stop-day, scheduled and observed, with its headway."""
-    def at(left: DataFrame, right: DataFrame, how: str, *more: str) -> DataFrame:
-        names = [*STOP_DAY, *more]
-        other = right.select(*[F.col(n).alias(f"_r_{n}") for n in names], *[c for c in right.columns if c not in names])
-        return left.join(other, [F.col(n).eqNullSafe(F.col(f"_r_{n}")) for n in names], how).drop(*[f"_r_{n}" for n in names])
-
-    picked = F.broadcast(worst_stop_day(gaps))  # one row
-    spacing = at(gaps.select(*STOP_DAY, "trip_id", "headway_s", "sched_headway_s", "headway_status"), picked, "left_semi")
-    rows = at(at(dep, picked, "left_semi"), spacing, "left", "trip_id")
-    return rows.join(current(dim, "stop_id", "stop_name"), "stop_id", "left").select(
-        *STOP_DAY, "stop_name", "trip_id", "vehicle_id", F.unix_seconds("scheduled_ts").alias("scheduled_epoch"),
-        F.unix_seconds("observed_ts").alias("observed_epoch"), "delay_s", "headway_s", "sched_headway_s", "headway_status",
-    ).orderBy("observed_epoch", "trip_id")
-
-
-def pipeline_runs(log: DataFrame) -> DataFrame:
-    """Each attempt of a scheduled run with its time, rows added and freshness."""
-    vp, tu = metrics.rows_added()
-    return log.where(F.col("run_id") != metrics.MANUAL).select(
-        "run_id", "step", "status", F.unix_seconds("started_at").alias("started_epoch"), metrics.took_s().alias("duration_s"),
-        (vp + tu).alias("bronze_rows"), metrics.from_metrics("freshness_s", "int").alias("freshness_s"),
-    ).orderBy("started_epoch", "run_id", "step")
-
-
-def dq_checks(results: DataFrame) -> DataFrame:
-    """Per check: runs, passes, rows failed and checked."""
-    return results.groupBy("check_name", "table_name", "severity").agg(
-        F.count("*").alias("runs"), F.count_if("passed").alias("passed"), F.sum("failed").alias("rows_failed"), F.sum("total").alias("rows_checked")
-    ).orderBy("severity", "check_name")
-
-
-DEP, GAPS = "gold_timepoint_departures", "gold_headways"
-DATASETS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
-    "route_summary": (route_summary, (DEP, GAPS, "dim_routes")),
-    "route_hour": (route_hour, (DEP, GAPS)),
-    "daily": (daily, (DEP, GAPS)),
-    "stops": (stops, (DEP, GAPS, "dim_stops")),
-    "weather": (weather, ("gold_route_hour_weather",)),
-    "bunching_example": (bunching_example, (DEP, GAPS, "dim_stops")),
-    "pipeline_runs": (pipeline_runs, ("ops_run_log",)),
-    "dq_checks": (dq_checks, ("dq_results",)),
-}
-
-
 def build(lake) -> tuple[dict[str, DataFrame], list[str]]:
     """The datasets whose tables exist, and the names of the others."""
     found, skipped = {}, []
-    for name, (make, needs) in DATASETS.items():
-        if all(map(lake.exists, needs)):
-            found[name] = make(*map(lake.read, needs))
+    for name, relation in DATASETS.items():
+        if all(map(lake.exists, relation.tables)):
+            found[name] = relation.frame({t: lake.read(t) for t in relation.tables})
         else:
             skipped.append(name)
     return found, skipped
@@ -181,6 +166,22 @@ def write_whole(path: Path, text: str) -> None:
     os.replace(part, path)
 
 
+def write_csv(path: Path, rows: DataFrame, span_of: Sequence[int] = ()) -> tuple[int, tuple[str, str] | None]:
+    """Writes rows as they come, one part of them in memory at a time; returns how many, and a column's ends as text."""
+    part, n, ends = path.parent / f".{path.name}.part", 0, None
+    with part.open("w", encoding="utf-8", newline="") as out:
+        to = csv.writer(out, lineterminator="\n")
+        to.writerow(rows.columns)
+        for row in rows.toLocalIterator():
+            to.writerow(["" if x is None else x for x in row])
+            n += 1
+            for k in span_of:
+                x = str(row[k])
+                ends = (min(ends[0], x), max(ends[1], x)) if ends else (x, x)
+    os.replace(part, path)
+    return n, ends
+
+
 def export(lake, folder: str, run_id: str = "manual") -> dict[str, Any]:
     """Writes each dataset as CSV and then the manifest, so that a new manifest never names old files."""
     target = Path(folder)
@@ -188,11 +189,10 @@ def export(lake, folder: str, run_id: str = "manual") -> dict[str, Any]:
     found, skipped = build(lake)
     sizes, span = {}, None
     for name, rows in found.items():
-        frame = rows.toPandas()  # one row per route, hour, stop or day
-        write_whole(target / f"{name}.csv", frame.to_csv(index=False))
-        sizes[name] = len(frame)
-        if name == "daily" and len(frame):
-            span = {"first_service_date": str(frame.service_date.min()), "last_service_date": str(frame.service_date.max())}
+        days = [rows.columns.index("service_date")] if name == "daily" else []
+        sizes[name], seen = write_csv(target / f"{name}.csv", rows, days)
+        if seen:
+            span = {"first_service_date": seen[0], "last_service_date": seen[1]}
     manifest = {
         "generated_at_utc": datetime.now(UTC).isoformat(timespec="seconds"), "run_id": run_id, "service_dates": span, "rows": sizes,
         "skipped": skipped, "definitions": asdict(GRADING) | {"rush_hours": list(RUSH_HOURS)},

@@ -1,24 +1,30 @@
-"""Pipeline metrics as DataFrames over the log and data tables, within a window of local calendar days."""
+"""Pipeline metrics over the log and data tables, within a window of local calendar days; as DataFrames or SQL text."""
 
 from __future__ import annotations
 
+import argparse
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
 from decimal import Decimal
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from punctual.functions import scalars as S
+from punctual.plans.relations import Relation, table
 from punctual.session import LOCAL_ZONE
 
 # Local hours at which a run is scheduled, and the window that published figures are from.
 SCHEDULED_HOURS = (6, 8, 10, 12, 14, 16, 18, 20, 22)
 PUBLISHED_WINDOW = ("2026-10-02", "2026-10-08")
 MANUAL = "manual"
+FEED_NAMES = ("vehicle_positions", "trip_updates")
+LOG, RESULTS = table("ops_run_log"), table("dq_results")
+
+
+def local(column: str) -> str:
+    return f"from_utc_timestamp({column}, '{LOCAL_ZONE}')"
 
 
 @dataclass(frozen=True)
@@ -33,144 +39,154 @@ class Window:
         day = lambda x: date.fromisoformat(x) if isinstance(x, str) else x
         return cls(day(start), day(end))
 
-    def holds(self, at: Column) -> Column:
-        day = S.local_day(at)
-        inside = at.isNotNull()
-        if self.start:
-            inside = inside & (day >= F.lit(self.start))
-        return inside & (day <= F.lit(self.end)) if self.end else inside
+    def holds(self, column: str) -> str:
+        """The condition that a UTC timestamp lies in it; null doesn't."""
+        bounds = [f"date({local(column)}) {sign} date'{day}'" for sign, day in ((">=", self.start), ("<=", self.end)) if day]
+        return " and ".join([f"{column} is not null", *bounds])
 
 
-def from_metrics(key: str, kind: str = "bigint") -> Column:
+def logged(key: str, kind: str = "bigint") -> str:
     """A number in the log's JSON; null where it isn't one."""
-    return F.get_json_object("metrics", f"$.{key}").try_cast(kind)
+    return f"try_cast(get_json_object(metrics, '$.{key}') as {kind})"
+
+
+def share(part: str, whole: str) -> str:
+    return f"case when {whole} > 0 then round(100d * ({part}) / {whole}, 2) end"
 
 
-def rows_added() -> tuple[Column, Column]:
-    return tuple(F.coalesce(from_metrics(f"{f}_rows_added"), F.lit(0).cast("long")) for f in ("vehicle_positions", "trip_updates"))
+ADDED = tuple(f"coalesce({logged(f + '_rows_added')}, 0L)" for f in FEED_NAMES)
+TOOK_S = "unix_seconds(finished_at) - unix_seconds(started_at)"
+DONE = "step = '{}' and status = 'succeeded'"
 
 
-def events_per_day(log: DataFrame, window: Window = Window()) -> DataFrame:
+def _events_per_day(w: Window) -> Relation:
     """Raw rows added per local day by succeeded attempts, and the runs that added them."""
-    vp, tu = rows_added()
-    done = log.where((F.col("step") == "bronze") & (F.col("status") == "succeeded") & window.holds(F.col("started_at")))
-    return done.groupBy(S.local_day(F.col("started_at")).alias("run_date")).agg(
-        F.count_distinct("run_id").alias("runs"), F.sum(vp).alias("vehicle_positions"), F.sum(tu).alias("trip_updates"), F.sum(vp + tu).alias("events")
-    ).orderBy("run_date")
+    rows = LOG.where(f"{DONE.format('bronze')} and {w.holds('started_at')}").columns(
+        f"date({local('started_at')}) as run_date", "run_id", *[f"{a} as {f}" for a, f in zip(ADDED, FEED_NAMES)]
+    )
+    sums = [f"sum({f}) as {f}" for f in FEED_NAMES]
+    return rows.grouped(["run_date"], "count(distinct run_id) as runs", *sums, f"sum({' + '.join(FEED_NAMES)}) as events").ordered("run_date")
 
 
-def freshness(log: DataFrame, window: Window = Window()) -> DataFrame:
+def _freshness(w: Window) -> Relation:
     """Age of the newest departure when a scheduled build ended: exact percentiles, mean and range."""
-    age = from_metrics("freshness_s", "int")
-    built = (F.col("step") == "gold") & (F.col("status") == "succeeded") & (F.col("run_id") != MANUAL) & window.holds(F.col("started_at"))
-    ages = log.where(built).select(age.alias("s")).where("s is not null")
-    return ages.agg(
-        F.count("*").alias("builds"), F.percentile("s", 0.5).alias("median_s"), F.percentile("s", 0.95).alias("p95_s"),
-        F.round(F.avg("s"), 1).alias("mean_s"), F.min("s").alias("min_s"), F.max("s").alias("max_s"),
+    built = LOG.where(f"{DONE.format('gold')} and run_id <> '{MANUAL}' and {w.holds('started_at')}")
+    ages = built.columns(f"{logged('freshness_s', 'int')} as s").where("s is not null")
+    return ages.grouped(
+        [], "count(*) as builds", "percentile(s, 0.5) as median_s", "percentile(s, 0.95) as p95_s", "round(avg(s), 1) as mean_s", "min(s) as min_s",
+        "max(s) as max_s",
     )
 
 
-def rows_removed(bronze: dict[str, DataFrame], silver: dict[str, DataFrame], quarantine: DataFrame, window: Window = Window()) -> DataFrame:
+def _rows_removed(w: Window) -> Relation:
     """Per feed, raw rows that reached neither the typed table nor quarantine. One scan per table."""
-    def counted(rows: DataFrame, feed: Column, at: str, kind: str) -> DataFrame:
-        return rows.where(window.holds(F.col(at))).groupBy(feed.alias("feed")).agg(F.count("*").alias("n")).withColumn("kind", F.lit(kind))
+    def counted(name: str, feed: str, at: str, stage: str) -> Relation:
+        return table(name).where(w.holds(at)).grouped([f"{feed} as feed", f"'{stage}' as stage"], "count(*) as n")
 
-    parts = [counted(t, F.lit(f), "_ingested_at", k) for k, tables in (("bronze", bronze), ("silver", silver)) for f, t in tables.items()]
-    parts.append(counted(quarantine, F.col("feed"), "_quarantined_at", "quarantined"))
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    of = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0).cast("long")).alias(k)
-    wide = every.groupBy("feed").agg(of("bronze"), of("silver"), of("quarantined")).where(F.col("feed").isin(list(bronze)))
-    lost = F.col("bronze") - F.col("silver") - F.col("quarantined")
-    return wide.withColumns({"removed": lost, "pct_removed": S.share(lost, F.col("bronze"), 2)})
+    parts = [counted(f"{stage}_{f}", f"'{f}'", "_ingested_at", stage) for stage in ("bronze", "silver") for f in FEED_NAMES]
+    parts.append(counted("silver_quarantine", "feed", "_quarantined_at", "quarantined"))
+    of = [f"coalesce(sum(n) filter (where stage = '{s}'), 0L) as {s}" for s in ("bronze", "silver", "quarantined")]
+    wide = parts[0].followed_by(*parts[1:]).where(f"feed in {FEED_NAMES}").grouped(["feed"], *of)
+    lost = "bronze - silver - quarantined"
+    return wide.columns("*", f"{lost} as removed", f"{share(lost, 'bronze')} as pct_removed")
 
 
-def data_quality(results: DataFrame, log: DataFrame, window: Window = Window()) -> DataFrame:
+def _data_quality(w: Window) -> Relation:
     """Checks and runs that passed, of the runs in the window."""
-    runs = log.where(window.holds(F.col("started_at"))).select("run_id")
-    counted = results.join(runs, "run_id", "left_semi").agg(
-        F.count_distinct("run_id").alias("runs"), F.count("*").alias("checks"), F.count_if("passed").alias("passed"),
-        F.count_distinct(F.when(~F.col("passed"), F.col("run_id"))).alias("failing"),
-    )
-    return counted.select(
-        "runs", "checks", "passed", S.share(F.col("passed"), F.col("checks"), 2).alias("pct_checks_passed"),
-        (F.col("runs") - F.col("failing")).alias("runs_all_passed"),
+    runs = LOG.where(w.holds("started_at")).columns("run_id")
+    counted = RESULTS.joined(runs, ["run_id"], "left semi").grouped(
+        [], "count(distinct run_id) as runs", "count(*) as checks", "count_if(passed) as passed", "count(distinct if(passed, null, run_id)) as failing"
     )
+    return counted.columns("runs", "checks", "passed", f"{share('passed', 'checks')} as pct_checks_passed", "runs - failing as runs_all_passed")
 
 
-def took_s() -> Column:
-    return F.unix_seconds("finished_at") - F.unix_seconds("started_at")
-
-
-def step_runtime(log: DataFrame, window: Window = Window()) -> DataFrame:
+def _step_runtime(w: Window) -> Relation:
     """Attempts, failures, median and longest seconds per step."""
-    return log.where(window.holds(F.col("started_at"))).groupBy("step").agg(
-        F.count("*").alias("attempts"), F.count_if(F.col("status") == "failed").alias("failed"),
-        F.percentile(took_s(), 0.5).alias("median_s"), F.max(took_s()).alias("max_s"),
-    ).orderBy("step")
+    rows = LOG.where(w.holds("started_at")).columns("step", "status", f"{TOOK_S} as took_s")
+    return rows.grouped(
+        ["step"], "count(*) as attempts", "count_if(status = 'failed') as failed", "percentile(took_s, 0.5) as median_s", "max(took_s) as max_s"
+    ).ordered("step")
 
 
-def run_outcomes(log: DataFrame) -> DataFrame:
-    """(run_id, first_start, failed_steps) of scheduled runs: a step failed if its last attempt did.
-
-    Two aggregations on (run, step) and run; no window is needed.
-    """
-    last = log.where(F.col("run_id") != MANUAL).groupBy("run_id", "step").agg(
-        F.max_by("status", "started_at").alias("last"), F.min("started_at").alias("first")
-    )
-    return last.groupBy("run_id").agg(F.min("first").alias("first_start"), F.count_if(F.col("last") == "failed").alias("failed_steps"))
+#: (run_id, first_start, failed_steps) of scheduled runs: a step failed if its last attempt did.
+OUTCOMES = (
+    LOG.where(f"run_id <> '{MANUAL}'")
+    .grouped(["run_id", "step"], "max_by(status, started_at) as last", "min(started_at) as first")
+    .grouped(["run_id"], "min(first) as first_start", "count_if(last = 'failed') as failed_steps")
+)
 
 
-def job_runs(log: DataFrame, window: Window = Window()) -> DataFrame:
+def _job_runs(w: Window) -> Relation:
     """Scheduled runs that began in the window, and those whose every step succeeded in the end."""
-    runs = run_outcomes(log).where(window.holds(F.col("first_start")))
-    good = F.count_if(F.col("failed_steps") == 0)
-    return runs.agg(
-        F.count("*").alias("runs"), good.alias("succeeded"), S.share(good, F.count("*"), 2).alias("pct_succeeded"),
-        F.min("first_start").alias("first_run"), F.max("first_start").alias("last_run"),
+    counted = OUTCOMES.where(w.holds("first_start")).grouped(
+        [], "count(*) as runs", "count_if(failed_steps = 0) as succeeded", "min(first_start) as first_run", "max(first_start) as last_run"
     )
+    return counted.columns("runs", "succeeded", f"{share('succeeded', 'runs')} as pct_succeeded", "first_run", "last_run")
 
 
-def run_coverage(log: DataFrame, window: Window = Window(), hours: tuple[int, ...] = SCHEDULED_HOURS) -> DataFrame:
+def _run_coverage(w: Window) -> Relation:
     """One row per calendar day, days without a run too: runs, missed slots, failed and off-schedule runs."""
-    start = F.from_utc_timestamp("first_start", LOCAL_ZONE)
-    runs = run_outcomes(log).select(start.cast("date").alias("run_date"), F.hour(start).alias("start_hour"), "failed_steps")
-    low = F.greatest(F.min("run_date"), F.lit(window.start)) if window.start else F.min("run_date")
-    high = F.least(F.max("run_date"), F.lit(window.end)) if window.end else F.max("run_date")
-    ends = runs.agg(low.alias("low"), high.alias("high")).where("low <= high")
-    days = ends.select(F.explode(F.sequence("low", "high")).alias("run_date"))
-    slots = F.array(*map(F.lit, hours))
-    return days.join(runs, "run_date", "left").groupBy("run_date").agg(
-        F.count("start_hour").alias("runs"), F.array_sort(F.collect_list("start_hour")).alias("start_hours"),
-        F.count_if(F.col("failed_steps") > 0).alias("failed_runs"), F.count_if(~F.col("start_hour").isin(*hours)).alias("off_schedule_runs"),
-    ).select(
-        "run_date", "runs", F.size(F.array_except(slots, F.col("start_hours"))).alias("missing_runs"), "failed_runs", "off_schedule_runs", "start_hours",
-    ).orderBy("run_date")
+    runs = OUTCOMES.columns(f"date({local('first_start')}) as run_date", f"hour({local('first_start')}) as start_hour", "failed_steps")
+    low = f"greatest(min(run_date), date'{w.start}')" if w.start else "min(run_date)"
+    high = f"least(max(run_date), date'{w.end}')" if w.end else "max(run_date)"
+    span = runs.grouped([], f"{low} as low", f"{high} as high").where("low <= high")
+    slots = ", ".join(map(str, SCHEDULED_HOURS))
+    days = span.columns("explode(sequence(low, high)) as run_date").joined(runs, ["run_date"], "left").grouped(
+        ["run_date"], "count(start_hour) as runs", "array_sort(collect_list(start_hour)) as start_hours", "count_if(failed_steps > 0) as failed_runs",
+        f"count_if(start_hour not in ({slots})) as off_schedule_runs",
+    )
+    missing = f"size(array_except(array({slots}), start_hours)) as missing_runs"
+    return days.columns("run_date", "runs", missing, "failed_runs", "off_schedule_runs", "start_hours").ordered("run_date")
 
 
-FEED_NAMES = ("vehicle_positions", "trip_updates")
-METRICS: dict[str, Callable] = {
-    "events_per_day": lambda lake, w: events_per_day(lake.read("ops_run_log"), w),
-    "freshness": lambda lake, w: freshness(lake.read("ops_run_log"), w),
-    "rows_removed": lambda lake, w: rows_removed(
-        {f: lake.read(f"bronze_{f}") for f in FEED_NAMES}, {f: lake.read(f"silver_{f}") for f in FEED_NAMES}, lake.read("silver_quarantine"), w
-    ),
-    "data_quality": lambda lake, w: data_quality(lake.read("dq_results"), lake.read("ops_run_log"), w),
-    "step_runtime": lambda lake, w: step_runtime(lake.read("ops_run_log"), w),
-    "job_runs": lambda lake, w: job_runs(lake.read("ops_run_log"), w),
-    "run_coverage": lambda lake, w: run_coverage(lake.read("ops_run_log"), w),
+METRICS: dict[str, Callable[[Window], Relation]] = {
+    "events_per_day": _events_per_day, "freshness": _freshness, "rows_removed": _rows_removed, "data_quality": _data_quality,
+    "step_runtime": _step_runtime, "job_runs": _job_runs, "run_coverage": _run_coverage,
 }
 
 
+def _over_log(name: str) -> Callable[..., DataFrame]:
+    def run(log: DataFrame, window: Window = Window()) -> DataFrame:
+        return METRICS[name](window).frame({"ops_run_log": log})
+
+    run.__name__, run.__doc__ = name, METRICS[name].__doc__
+    return run
+
+
+events_per_day, freshness, step_runtime, job_runs, run_coverage = map(_over_log, ("events_per_day", "freshness", "step_runtime", "job_runs", "run_coverage"))
+
+
+def rows_removed(bronze: dict[str, DataFrame], silver: dict[str, DataFrame], quarantine: DataFrame, window: Window = Window()) -> DataFrame:
+    tables = {f"{stage}_{f}": t for stage, by in (("bronze", bronze), ("silver", silver)) for f, t in by.items()}
+    return _rows_removed(window).frame(tables | {"silver_quarantine": quarantine})
+
+
+def data_quality(results: DataFrame, log: DataFrame, window: Window = Window()) -> DataFrame:
+    return _data_quality(window).frame({"dq_results": results, "ops_run_log": log})
+
+
 def metric(lake, name: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """One metric over a lake's tables."""
-    return METRICS[name](lake, Window.of(start, end))
+    found = METRICS[name](Window.of(start, end))
+    return found.frame({t: lake.read(t) for t in found.tables})
+
+
+def metric_sql(name: str, start: str | None = None, end: str | None = None, prefix: str = "") -> str:
+    """One metric as a statement over tables below ``prefix``."""
+    return METRICS[name](Window.of(start, end)).sql(prefix)
+
+
+def metrics_file(start: str, end: str, prefix: str = "") -> str:
+    """All metrics for one window as a file of statements, to keep beside published figures."""
+    parts = [f"-- Local calendar days {start} to {end}, both included."]
+    parts += [f"\n-- {name}\n{metric_sql(name, start, end, prefix)};" for name in METRICS]
+    return "\n".join(parts) + "\n"
 
 
 def compute(lake, start: str | None = None, end: str | None = None) -> dict[str, Any]:
     """All metrics in one dictionary. Without a window the first and last logged day, mostly partial, don't count
     towards events per day if there are three days or more."""
+    # One row in all, or one for each day, feed or step.
     rows = lambda name: [r.asDict() for r in metric(lake, name, start, end).collect()]
     days = rows("events_per_day")
     events = [d["events"] for d in (days if start or len(days) < 3 else days[1:-1])]
@@ -204,10 +220,15 @@ def save(lake, figures: dict[str, Any]) -> None:
     lake.append("ops_metric_results", lake.spark.createDataFrame([row], "measured_at timestamp, window_start string, window_end string, metrics string"))
 
 
-def plans_text(lake, start: str, end: str) -> str:
-    """Every metric's optimised plan for a window, as a file to keep beside published figures."""
-    parts = [f"-- Metrics from {start} to {end}, local calendar days, both included."]
-    for name in METRICS:
-        plan = metric(lake, name, start, end)._jdf.queryExecution().optimizedPlan().toString()
-        parts.append(f"\n-- {name}\n{plan.rstrip()}")
-    return "\n".join(parts) + "\n"
+def main(argv: Sequence[str] | None = None) -> int:
+    p = argparse.ArgumentParser(description="Prints every metric's SQL for a window.")
+    p.add_argument("--start", default=PUBLISHED_WINDOW[0])
+    p.add_argument("--end", default=PUBLISHED_WINDOW[1])
+    p.add_argument("--prefix", default="")
+    args = p.parse_args(argv)
+    print(metrics_file(args.start, args.end, args.prefix), end="")
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

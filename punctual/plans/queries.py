@@ -282,21 +282,21 @@ def pit_enriched(spark, d):
 _CUSTOMER = Tracked("c_custkey", ("c_name", "c_mktsegment"), "c_sk")
 
 
-@query("""WITH a AS (SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey % 5 <> 0),
-b AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 7 = 0 THEN c_mktsegment || '*' ELSE c_mktsegment END AS c_mktsegment FROM customer WHERE c_custkey % 11 <> 0)
-SELECT CAST(a.c_custkey AS VARCHAR) AS c_custkey, a.c_name, a.c_mktsegment, DATE '2024-01-01' AS valid_from,
-  CASE WHEN b.c_custkey IS NULL OR b.c_mktsegment <> a.c_mktsegment THEN DATE '2024-02-01' END AS valid_to,
-  b.c_custkey IS NOT NULL AND b.c_mktsegment = a.c_mktsegment AS is_current FROM a LEFT JOIN b USING (c_custkey)
-UNION ALL SELECT CAST(b.c_custkey AS VARCHAR), b.c_name, b.c_mktsegment, DATE '2024-02-01', NULL, true FROM b LEFT JOIN a USING (c_custkey)
-WHERE a.c_custkey IS NULL OR b.c_mktsegment <> a.c_mktsegment""")
+@query("""WITH a AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment, c_acctbal FROM customer),
+s AS (SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment AS old, CASE WHEN c_custkey % 7 = 0 THEN 'NEW' ELSE c_mktsegment END AS new,
+  CASE WHEN c_acctbal < 0 THEN 'later' WHEN c_acctbal > 9000 THEN 'gone' ELSE 'both' END AS seen FROM a)
+SELECT c_custkey, c_name, old AS c_mktsegment, DATE '2024-01-01' AS valid_from, CASE WHEN seen = 'gone' OR old IS DISTINCT FROM new THEN DATE '2024-02-01' END AS valid_to,
+  seen = 'both' AND old IS NOT DISTINCT FROM new AS is_current FROM s WHERE seen <> 'later'
+UNION ALL SELECT c_custkey, c_name, new, DATE '2024-02-01', NULL, true FROM s WHERE seen = 'later' OR (seen = 'both' AND old IS DISTINCT FROM new)""")
 def scd2_apply(spark, d):
     """Two releases of customers applied one after the other: changed, gone, new and unchanged keys."""
     from datetime import date
 
-    key, seg = F.col("c_custkey"), F.col("c_mktsegment")
-    c = T(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    one = c.where(key % 5 != 0)
-    two = c.where(key % 11 != 0).withColumn("c_mktsegment", F.when(key % 7 == 0, F.concat(seg, F.lit("*"))).otherwise(seg))
+    key, balance = F.col("c_custkey"), F.col("c_acctbal")
+    seventh = lambda new: F.when(key % 7 == 0, new).otherwise(F.col("c_mktsegment"))
+    c = T(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    one = c.where(balance >= 0).withColumn("c_mktsegment", seventh(F.lit(None)))
+    two = c.where(balance <= 9000).withColumn("c_mktsegment", seventh(F.lit("NEW")))
     rows = empty_dimension(spark, _CUSTOMER)
     for release, name, start in ((one, "v1", date(2024, 1, 1)), (two, "v2", date(2024, 2, 1))):
         shaped = release_rows(release.withColumn("c_custkey", key.cast("string")), _CUSTOMER, name, start)
@@ -304,13 +304,15 @@ def scd2_apply(spark, d):
     return rows.select("c_custkey", "c_name", "c_mktsegment", "valid_from", "valid_to", "is_current")
 
 
-@query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0""")
+@query("SELECT c_custkey, c_nationkey, CASE WHEN c_acctbal < 5000 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer")
 def upsert_apply(spark, d):
-    """A second batch updates keys that are there and adds the others."""
-    lake, c = _lake(spark), T(spark, d, "customer").select("c_custkey", "c_acctbal")
-    lake.overwrite("t", c.where("c_custkey % 2 = 0"))
-    lake.upsert("t", c.where("c_custkey % 3 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1), ["c_custkey"])
-    return lake.read("t")
+    """A second batch updates keys that are there and adds the others, partition by partition; a null key is a key."""
+    lake, c = _lake(spark), T(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    for name, parts in (("whole", []), ("parts", ["c_nationkey"])):
+        lake.upsert(name, c.where("c_acctbal >= 0"), ["c_custkey"], parts)
+        lake.upsert(name, c.where("c_acctbal < 5000").withColumn("c_acctbal", F.col("c_acctbal") + 1), ["c_custkey"])
+    # Both ways give the same rows, each once.
+    return lake.read("whole").unionByName(lake.read("parts")).groupBy("c_custkey", "c_nationkey", "c_acctbal").count().where("count = 2").drop("count")
 
 
 @query(f"""SELECT service_date, stop_id, trip_id, headway_s FROM {GAPS} WHERE service_date <> (SELECT min(service_date) FROM {GAPS})
@@ -542,7 +544,7 @@ def semi_quality(spark, d):
   CAST(sum(total) AS BIGINT) AS rows_checked FROM dq GROUP BY 1, 2, 3""")
 def dq_rollup(spark, d):
     """Check results by check."""
-    return datasets.dq_checks(check_log(spark, d))
+    return datasets.of("dq_checks", check_log(spark, d))
 
 
 @query(f"""WITH {_LOG} SELECT step, count(*) AS attempts, count(*) FILTER (WHERE status = 'failed') AS failed, quantile_cont(f - s, 0.5) AS median_s, max(f - s) AS max_s
@@ -597,7 +599,7 @@ summary AS (SELECT d.*, r.route_short_name, r.route_long_name, coalesce(h.headwa
 
 
 def _summary(spark, d):
-    rows = datasets.route_summary(_dep(spark, d), _gaps(spark, d), T(spark, d, "dim_routes"))
+    rows = datasets.of("route_summary", _dep(spark, d), _gaps(spark, d), T(spark, d, "dim_routes"))
     return rows.withColumn("p90_delay_s", F.round("p90_delay_s", 6))
 
 
@@ -615,7 +617,7 @@ route_hour AS (SELECT coalesce(d.route_id, h.route_id) AS route_id, coalesce(d.d
 
 
 def _route_hour(spark, d):
-    return datasets.route_hour(_dep(spark, d), _gaps(spark, d))
+    return datasets.of("route_hour", _dep(spark, d), _gaps(spark, d))
 
 
 @query(f"WITH {_ROUTE_HOUR} SELECT * FROM route_hour")
@@ -628,7 +630,7 @@ def route_hour_full(spark, d):
 h AS (SELECT service_date, count(*) AS headways, {_HW('bunched')} FROM {GAPS} GROUP BY 1) SELECT d.*, coalesce(headways, 0) AS headways, coalesce(bunched, 0) AS bunched FROM d LEFT JOIN h USING (service_date)""")
 def daily_trend(spark, d):
     """Counts per service date."""
-    return datasets.daily(_dep(spark, d), _gaps(spark, d))
+    return datasets.of("daily", _dep(spark, d), _gaps(spark, d))
 
 
 _STOPS = f"""d AS (SELECT stop_id, count(*) AS departures, {_OTP('on_time')}, round(avg(delay_s), 1) + 0.0 AS avg_delay_s, count(DISTINCT route_id) AS routes,
@@ -638,7 +640,7 @@ stops AS (SELECT d.*, s.stop_name, TRY_CAST(s.stop_lat AS DOUBLE) AS lat, TRY_CA
 
 
 def _stop_rows(spark, d):
-    return datasets.stops(_dep(spark, d), _gaps(spark, d), T(spark, d, "dim_stops"))
+    return datasets.of("stops", _dep(spark, d), T(spark, d, "dim_stops"), _gaps(spark, d))
 
 
 @query(f"WITH {_STOPS} SELECT * FROM stops")
@@ -663,7 +665,7 @@ weather AS (SELECT CASE WHEN is_wet THEN 'wet' ELSE 'dry' END AS weather, {_RUSH
 
 
 def _weather(spark, d):
-    return datasets.weather(datasets.route_hour_weather(marts.hourly_performance(_dep(spark, d)), weather_hours(spark, d)))
+    return datasets.of("weather", datasets.route_hour_weather(marts.hourly_performance(_dep(spark, d)), weather_hours(spark, d)))
 
 
 @query(f"WITH {_WEATHER} SELECT * FROM weather")
@@ -682,7 +684,7 @@ example AS (SELECT d.service_date, d.route_id, d.direction_id, d.stop_id, s.stop
 
 
 def _example(spark, d):
-    return datasets.bunching_example(_dep(spark, d), _gaps(spark, d), T(spark, d, "dim_stops"))
+    return datasets.of("bunching_example", _dep(spark, d), _gaps(spark, d), T(spark, d, "dim_stops"))
 
 
 @query(f"WITH {_EXAMPLE} SELECT * FROM example")
@@ -694,7 +696,7 @@ def bunching_example(spark, d):
 @query(f"""WITH {_LOG} SELECT run_id, step, status, s AS started_epoch, f - s AS duration_s, 3 * k AS bronze_rows, CAST(k + 300 AS INTEGER) AS freshness_s FROM log WHERE run_id <> 'manual'""")
 def pipeline_runs(spark, d):
     """Attempts of scheduled runs."""
-    return datasets.pipeline_runs(run_log(spark, d))
+    return datasets.of("pipeline_runs", run_log(spark, d))
 
 
 @query(f"""WITH g AS (SELECT trip_id, service_date, stop_id, observed_ts, delay_s FROM {DEP} WHERE observed_ts IS NOT NULL),
@@ -720,19 +722,19 @@ def crosscheck_nearest(spark, d):
 
 
 def _busiest(t: str) -> str:
-    return f"""service_date = (SELECT max(service_date) FROM {t}) AND route_id = (SELECT route_id FROM (SELECT route_id, count(*) AS n FROM {t}
-      WHERE route_id IS NOT NULL GROUP BY 1) ORDER BY n DESC, route_id DESC LIMIT 1)"""
+    route = f"SELECT route_id FROM (SELECT route_id, count(*) AS n FROM {t} WHERE route_id IS NOT NULL GROUP BY 1) ORDER BY n DESC, route_id DESC LIMIT 1"
+    return f"route_id = ({route}) AND service_date = (SELECT max(service_date) FROM {t} WHERE route_id = ({route}))"
 
 
 @query(f"SELECT vehicle_id, count(*) AS pings, max(event_ts) AS last_seen FROM {VP} WHERE {_busiest(VP)} GROUP BY 1")
 def bench_silver_lookup(spark, d):
-    """Pings per vehicle of the busiest route on the last day."""
+    """Pings per vehicle of the busiest route on its last day."""
     return benchmarks.pings_by_vehicle(T(spark, d, VP))
 
 
 @query(f"SELECT stop_id, count(*) AS departures, round(avg(delay_s), 6) + 0.0 AS avg_delay_s FROM {DEP} WHERE {_busiest(DEP)} GROUP BY 1")
 def bench_gold_lookup(spark, d):
-    """Departures per stop of the busiest route on the last day."""
+    """Departures per stop of the busiest route on its last day."""
     return benchmarks.departures_by_stop(T(spark, d, DEP)).withColumn("avg_delay_s", F.round("avg_delay_s", 6))
 
 
@@ -856,31 +858,31 @@ def hour_series_pivot(spark, d):
   WHERE run_id <> 'manual' AND step = 'gold' AND status = 'succeeded'""")
 def freshness_series(spark, d):
     """Age at each build in minutes."""
-    return dashboard.freshness_series(datasets.pipeline_runs(run_log(spark, d)))
+    return dashboard.freshness_series(datasets.of("pipeline_runs", run_log(spark, d)))
 
 
 @query(f"""WITH {_LOG} SELECT CAST(to_timestamp(s) AT TIME ZONE '{LOCAL_ZONE}' AS DATE) AS date, CAST(sum(3 * k) AS BIGINT) AS events, count(DISTINCT run_id) AS runs FROM log
   WHERE run_id <> 'manual' AND step = 'bronze' AND status = 'succeeded' GROUP BY 1""")
 def dashboard_events_per_day(spark, d):
     """Rows added per local day, from the published runs."""
-    return dashboard.events_per_day(datasets.pipeline_runs(run_log(spark, d)))
+    return dashboard.events_per_day(datasets.of("pipeline_runs", run_log(spark, d)))
 
 
 @query(f"""WITH {_LOG} SELECT step, quantile_cont(f - s, 0.5) AS median_s, max(f - s) AS max_s, count(*) AS attempts FROM log WHERE run_id <> 'manual' AND status = 'succeeded' GROUP BY 1""")
 def dashboard_step_runtimes(spark, d):
     """Seconds of succeeded attempts per step."""
-    return dashboard.step_runtimes(datasets.pipeline_runs(run_log(spark, d)))
+    return dashboard.step_runtimes(datasets.of("pipeline_runs", run_log(spark, d)))
 
 
-_KEYS = "SELECT DISTINCT user_id, event_type, CAST(day(ts) AS INTEGER) AS day FROM events WHERE event_id % 3 <> {}"
+_KEYS = "SELECT DISTINCT user_id, event_type, CAST(day(ts) AS INTEGER) AS day FROM events WHERE {}"
 
 
-@query(f"""WITH a AS ({_KEYS.format(0)}), b AS ({_KEYS.format(1)}) SELECT (SELECT count(*) FROM (FROM a INTERSECT FROM b)) AS in_both,
+@query(f"""WITH a AS ({_KEYS.format("event_type <> 'purchase'")}), b AS ({_KEYS.format("event_type <> 'view'")}) SELECT (SELECT count(*) FROM (FROM a INTERSECT FROM b)) AS in_both,
   (SELECT count(*) FROM (FROM a EXCEPT FROM b)) AS only_first, (SELECT count(*) FROM (FROM b EXCEPT FROM a)) AS only_second""")
 def snapshot_overlap(spark, d):
     """Keys that two snapshots share, by one aggregation."""
     e = T(spark, d, "events").withColumn("day", F.dayofmonth("ts"))
-    return overlap(e.where("event_id % 3 <> 0"), e.where("event_id % 3 <> 1"), ["user_id", "event_type", "day"])
+    return overlap(e.where("event_type <> 'purchase'"), e.where("event_type <> 'view'"), ["user_id", "event_type", "day"])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

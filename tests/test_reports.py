@@ -130,7 +130,7 @@ def test_compute_and_save(spark, full_lake):
     assert m["run_coverage"]["missing_runs"] == 25
     metrics.save(full_lake, m)
     assert json.loads(full_lake.read("ops_metric_results").first().metrics)["total_events"] == 182
-    assert "-- job_runs" in metrics.plans_text(full_lake, "2026-10-01", "2026-10-03")
+    assert "-- job_runs" in metrics.metrics_file("2026-10-01", "2026-10-03")
 
 
 ROUTE_HOUR = "route_id string, day_type string, hour_local int, departures long, on_time long, late long, early long, delay_s_sum long, headways long, bunched long, gapped long"
@@ -222,8 +222,6 @@ def same(a, b):
 
 
 def test_sql_texts_agree_with_the_dataframes(spark, full_lake):
-    from punctual.plans import sql_text
-
     lake = full_lake
     one = spark.range(3).select(F.lit(datetime(2026, 10, 1, 12)).alias("_ingested_at"))
     for t in ("bronze_vehicle_positions", "bronze_trip_updates", "silver_vehicle_positions", "silver_trip_updates"):
@@ -235,18 +233,18 @@ def test_sql_texts_agree_with_the_dataframes(spark, full_lake):
     lake.view("ops_run_log", "dq_results", "silver_quarantine", "gold_timepoint_departures", "gold_headways", "dim_routes", "dim_stops", "gold_route_hour_weather", *[f"{a}_{b}" for a in ("bronze", "silver") for b in metrics.FEED_NAMES])
     for window in ((None, None), ("2026-10-01", "2026-10-02")):
         for name in metrics.METRICS:
-            assert same(metrics.metric(lake, name, *window), spark.sql(sql_text.metric(name, *window))), (name, window)
+            assert same(metrics.metric(lake, name, *window), spark.sql(metrics.metric_sql(name, *window))), (name, window)
     found, skipped = datasets.build(lake)
     assert not skipped
     for name, rows in found.items():
-        assert same(rows, spark.sql(sql_text.dataset(name))), name
+        assert same(rows, spark.sql(datasets.DATASETS[name].sql())), name
     for t in ("silver_vehicle_positions", "silver_trip_updates"):
         lake.drop(t)
     for label in ("before", "after"):
         benchmarks.measure(lake, label, 1)
     lake.view("ops_benchmarks")
-    assert same(benchmarks.compared(lake.read("ops_benchmarks")), spark.sql(sql_text.comparison()))
-    assert sql_text.metrics_file("2026-10-02", "2026-10-08", "a.b.").count("a.b.ops_run_log") >= 6
-    for bad in (lambda: sql_text.metric("freshness", "2026-10-01' or 1=1"), lambda: sql_text.dataset("daily", "x; drop"), lambda: sql_text.comparison("a'b")):
+    assert same(benchmarks.compared(lake.read("ops_benchmarks")), spark.sql(benchmarks.comparison().sql()))
+    assert metrics.metrics_file("2026-10-02", "2026-10-08", "a.b.").count("a.b.ops_run_log") >= 6
+    for bad in (lambda: metrics.metric_sql("freshness", "2026-10-01' or 1=1"), lambda: datasets.DATASETS["daily"].sql("x; drop"), lambda: benchmarks.comparison("a'b")):
         with pytest.raises(ValueError):
             bad()
