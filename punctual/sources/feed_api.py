@@ -1,7 +1,7 @@
 """Polling the feeds and landing their snapshots as JSON lines.
 
 The HTTP session, the message decoder and the clock are parameters, so nothing here needs a network or a library of
-its own.
+its own; ``wire.decode`` reads the feeds' binary messages.
 """
 
 from __future__ import annotations
@@ -171,15 +171,17 @@ def download(session: Session, url: str, api_key: str, folder: Path, version_of:
 
 
 def main(argv: list[str] | None = None) -> int:
-    """Polls feeds that answer in JSON, as the environment says."""
+    """Polls the feeds as the environment says."""
     import argparse
 
+    from punctual.sources import wire
     from punctual.sources.web import WebSession
 
     p = argparse.ArgumentParser(description="Polls the feeds and lands their snapshots.")
     p.add_argument("--polls", type=int, default=1)
+    p.add_argument("--json", action="store_true", help="the feeds answer in JSON, not in binary messages")
     args = p.parse_args(argv)
-    done = poll(WebSession(), Settings.from_environment(), json.loads, args.polls)
+    done = poll(WebSession(), Settings.from_environment(), json.loads if args.json else wire.decode, args.polls)
     print(json.dumps(done))
     return 0
 

@@ -10,13 +10,24 @@ from typing import Any, Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MANIFEST = "manifest.json"
-NAMES = ("route_summary", "route_hour", "daily", "stops", "weather", "bunching_example", "pipeline_runs", "dq_checks")
-# Columns that stay text whatever they look like; an id such as 070 is not a number.
-TEXT = {
-    "route_id", "route_short_name", "route_long_name", "stop_id", "stop_name", "trip_id", "vehicle_id", "route_ids", "run_id", "step", "status",
-    "day_type", "day_of_week", "headway_status", "check_name", "table_name", "severity", "weather", "service_date",
+# The datasets and the types of their columns; an id such as 070 is text.
+_PLACE = "service_date date, route_id string, direction_id int, stop_id string"
+SCHEMAS = {
+    "route_summary": "route_id string, route_short_name string, route_long_name string, departures long, on_time long, early long, late long, "
+    "avg_delay_s double, p90_delay_s double, rush_departures long, rush_on_time long, days long, headways long, bunched long, gapped long",
+    "route_hour": "route_id string, day_type string, hour_local int, departures long, on_time long, late long, early long, delay_s_sum long, "
+    "headways long, bunched long, gapped long",
+    "daily": "service_date date, day_of_week string, departures long, on_time long, routes long, vehicles long, headways long, bunched long",
+    "stops": "stop_id string, departures long, on_time long, avg_delay_s double, routes long, route_ids string, stop_name string, lat double, "
+    "lon double, headways long, bunched long",
+    "weather": "weather string, rush boolean, hours long, departures long, on_time long, avg_delay_s double",
+    "bunching_example": f"{_PLACE}, stop_name string, trip_id string, vehicle_id string, scheduled_epoch long, observed_epoch long, delay_s int, "
+    "headway_s int, sched_headway_s int, headway_status string",
+    "pipeline_runs": "run_id string, step string, status string, started_epoch long, duration_s long, bronze_rows long, freshness_s int",
+    "dq_checks": "check_name string, table_name string, severity string, runs long, passed long, rows_failed long, rows_checked long",
 }
 
 
@@ -39,14 +50,11 @@ class Snapshot:
         return self.manifest.get("metrics") or {}
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Text columns as text, the others as doubles where all their values are numbers; empty cells are null."""
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Columns by name, with their pinned types; empty cells and what isn't of the type are null, further columns stay text."""
     rows = spark.read.option("header", True).option("nullValue", "").csv(path)
-    free = [c for c in rows.columns if c not in TEXT]
-    if not free:
-        return rows
-    odd = rows.agg(*[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()).alias(c) for c in free]).first()
-    return rows.withColumns({c: F.col(c).try_cast("double") for c in free if not odd[c]})
+    pinned = {f.name: f.dataType for f in T.StructType.fromDDL(schema).fields}
+    return rows.withColumns({c: F.col(c).try_cast(pinned[c]) for c in rows.columns if c in pinned})
 
 
 def load(spark: SparkSession, folder: str | Path) -> Snapshot | None:
@@ -54,7 +62,8 @@ def load(spark: SparkSession, folder: str | Path) -> Snapshot | None:
     folder = Path(folder)
     if not (folder / MANIFEST).exists():
         return None
-    found = {n: read_csv(spark, (folder / f"{n}.csv").absolute().as_uri()) for n in NAMES if (folder / f"{n}.csv").exists()}
+    files = {n: folder / f"{n}.csv" for n in SCHEMAS}
+    found = {n: read_csv(spark, f.absolute().as_uri(), SCHEMAS[n]) for n, f in files.items() if f.exists()}
     return Snapshot(json.loads((folder / MANIFEST).read_text(encoding="utf-8")), found)
 
 

@@ -5,7 +5,8 @@ from types import SimpleNamespace
 
 import pytest
 
-from punctual.sources import feed_api, snapshot, static_release, weather_api
+from punctual.sources import feed_api, snapshot, static_release, weather_api, wire
+from punctual.sources.store import HadoopStore
 
 
 class Web:
@@ -41,6 +42,49 @@ def message(ts=1790000000, n=2):
     return json.dumps({"header": {"timestamp": str(ts)}, "entity": [{"id": str(k)} for k in range(n)]}).encode()
 
 
+def binary():
+    """Version 2.0 at 1790000000, and a vehicle "x" at (1.5, -2.25) on route 70 that is stopped, written out byte by byte."""
+    time = bytes([0x18]) + bytes([0x80, 0xAB, 0xC5, 0xD5, 0x06])  # field 3, a number in groups of seven bits
+    header = b"\x0a\x032.0" + time
+    trip = b"\x2a\x0270" + b"\x30\x01"
+    place = b"\x0d\x00\x00\xc0\x3f" + b"\x15\x00\x00\x10\xc0"
+    vehicle = b"\x0a" + bytes([len(trip)]) + trip + b"\x12" + bytes([len(place)]) + place + b"\x20\x01" + b"\xfa\x3f\x01z"
+    entity = b"\x0a\x01x" + b"\x22" + bytes([len(vehicle)]) + vehicle
+    return b"\x0a" + bytes([len(header)]) + header + b"\x12" + bytes([len(entity)]) + entity
+
+
+def test_binary_messages():
+    at = sum((b & 0x7F) << 7 * n for n, b in enumerate([0x80, 0xAB, 0xC5, 0xD5, 0x06]))
+    want = {"header": {"gtfs_realtime_version": "2.0", "timestamp": str(at)}, "entity": [{"id": "x", "vehicle": {
+        "trip": {"route_id": "70", "direction_id": 1}, "position": {"latitude": 1.5, "longitude": -2.25}, "current_status": "STOPPED_AT"}}]}
+    assert wire.decode(binary()) == want  # field 1023 isn't known and is skipped
+    assert wire.decode(wire.encode(want)) == want
+    update = {"header": {"timestamp": "1"}, "entity": [{"id": "u", "trip_update": {
+        "trip": {"trip_id": "t", "schedule_relationship": "CANCELED"}, "delay": -90, "timestamp": "18446744073709551615",
+        "stop_time_update": [{"stop_sequence": 3, "arrival": {"time": "-5", "delay": 2147483647}}, {"stop_id": "A", "schedule_relationship": 77}]}}]}
+    assert wire.decode(wire.encode(update)) == update and wire.decode(b"") == {}
+    assert wire.decode(wire.encode({"entity": [{"id": "p", "vehicle": {"position": {"latitude": 38.9072, "longitude": -77.0369}}}]}))["entity"][0]["vehicle"]["position"] == {"latitude": 38.9072, "longitude": -77.0369}
+    for bad in (binary()[:-1], b"\x0b", b"\x0a", b"\x80" * 11, b"\x08\x01"):
+        with pytest.raises(ValueError):
+            wire.decode(bad)
+
+
+def test_binary_snapshots_as_rows(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.pb").write_bytes(binary())
+    (tmp_path / "in/b.pb").write_bytes(b"")
+    (row,) = wire.read_snapshots(spark, f"file://{tmp_path}/in", "vehicle_positions").collect()
+    assert row.feed == "vehicle_positions" and json.loads(row.entity)["vehicle"]["current_status"] == "STOPPED_AT" and row._source_file.endswith("a.pb")
+
+
+def test_polling_binary_feeds_to_shared_storage(spark, tmp_path):
+    s = settings(tmp_path / "here", vehicle_positions="p")
+    mirror = feed_api.Mirror(HadoopStore(spark), tmp_path / "here", f"file://{tmp_path}/there")
+    assert feed_api.poll_once(Web(binary()), s, wire.decode, mirror) == {"vehicle_positions": 1}
+    (line,) = spark.read.json(f"file://{tmp_path}/there/vehicle_positions").collect()
+    assert line.entity.vehicle.position.latitude == 1.5 and [p.name for p in (tmp_path / "there").rglob("*.part")] == []
+
+
 def settings(tmp_path, **urls):
     return feed_api.Settings("k", urls or {"positions": "p"}, tmp_path, 0.0)
 
