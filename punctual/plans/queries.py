@@ -49,11 +49,14 @@ DEP, GAPS, VP, TU = "gold_timepoint_departures", "gold_headways", "silver_vehicl
 # ---------------------------------------------------------------- scans and scalar functions
 
 
-@query("SELECT event_id, user_id, event_type, true AS from_parquet FROM events")
+@query("SELECT event_id, user_id, event_type, true AS from_table, true AS modified, true AS has_size FROM events")
 def scan_metadata(spark, d):
-    """A scan with the file it came from."""
-    rows = spark.read.parquet(f"{d}/events.parquet").select("event_id", "user_id", "event_type", F.col("_metadata.file_path").alias("f"))
-    return rows.withColumn("from_parquet", F.col("f").contains(".parquet")).drop("f")
+    """A scan with the file it came from, its size, and when that was written."""
+    rows = spark.read.parquet(f"{d}/events.parquet").select("event_id", "user_id", "event_type", F.col("_metadata").alias("m"))
+    return rows.select(
+        "event_id", "user_id", "event_type", F.regexp_replace("m.file_path", "^file:/+", "/").startswith(f"{d}/events.parquet").alias("from_table"),
+        (F.col("m.file_modification_time") < F.current_timestamp()).alias("modified"), (F.col("m.file_size") > 0).alias("has_size"),
+    )
 
 
 @query("SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum FROM events GROUP BY 1")
@@ -88,7 +91,7 @@ _REASON = """CASE WHEN vehicle_id IS NULL OR trim(vehicle_id) = '' THEN 'missing
 _E = "CAST(floor(epoch(event_ts)) AS BIGINT)"
 _DAMAGED = f"""damaged AS (SELECT CASE WHEN {_E} % 11 = 0 THEN ' ' ELSE vehicle_id END AS vehicle_id, event_ts, CASE WHEN {_E} % 13 = 0 THEN NULL WHEN {_E} % 17 = 0 THEN 95
   WHEN {_E} % 23 = 0 THEN 0 ELSE latitude END AS latitude, CASE WHEN {_E} % 23 = 0 THEN 0 ELSE longitude END AS longitude,
-  CASE WHEN {_E} % 19 = 0 THEN event_ts - INTERVAL 400 SECOND ELSE fetched_at END AS fetched_at FROM {VP})"""
+  CASE WHEN {_E} % 19 = 0 THEN event_ts - INTERVAL 400 SECOND ELSE fetched_at END AS fetched_at, route_id FROM {VP})"""
 
 
 def damaged(spark: SparkSession, d: str) -> DataFrame:
@@ -117,26 +120,31 @@ def quarantine_split(spark, d):
     return good.unionByName(bad.groupBy("reason").agg(F.count("*").alias("n"), F.count("record").alias("records")))
 
 
-@query(f"SELECT vehicle_id, date_trunc('second', event_ts) AS event_ts, coalesce(trip_start_date, CAST(event_ts {LOCAL} AS DATE)) AS service_date, route_id, latitude, current_stop_sequence FROM {VP} WHERE {_REASON} IS NULL")
-def parse_positions(spark, d):
-    """Positions as raw JSON messages, parsed and typed again."""
-    text = lambda c: F.col(c).cast("string")
+def raw_positions(rows: DataFrame) -> DataFrame:
+    """Positions as raw rows, each message as JSON text."""
+    text = lambda c, name=None: F.col(c).cast("string").alias(name or c)
     vehicle = F.struct(
         F.struct(
-            "trip_id", "route_id", text("direction_id").alias("direction_id"), F.date_format("trip_start_date", "yyyyMMdd").alias("start_date"),
-            F.col("trip_start_time").alias("start_time"),
+            "trip_id", "route_id", text("direction_id"), F.date_format("trip_start_date", "yyyyMMdd").alias("start_date"), F.col("trip_start_time").alias("start_time"),
         ).alias("trip"),
         F.struct(F.col("vehicle_id").alias("id"), F.col("vehicle_label").alias("label")).alias("vehicle"),
-        F.struct(text("latitude").alias("latitude"), text("longitude").alias("longitude")).alias("position"),
-        text("current_stop_sequence").alias("current_stop_sequence"), F.unix_seconds("event_ts").cast("string").alias("timestamp"),
+        F.struct(text("latitude"), text("longitude"), text("bearing"), text("speed_mps", "speed")).alias("position"),
+        text("current_stop_sequence"), "stop_id", "current_status", "occupancy_status", F.unix_seconds("event_ts").cast("string").alias("timestamp"),
     )
-    raw = T(spark, d, VP).select(
+    return rows.select(
         F.lit("vehicle_positions").alias("feed"), F.unix_seconds("feed_header_ts").cast("string").alias("feed_header_ts"),
         F.date_format("fetched_at", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("fetched_at"),
-        F.to_json(F.struct(F.col("vehicle_id").alias("id"), vehicle.alias("vehicle"))).alias("entity"), "_source_file", "_ingested_at", F.col("service_date").alias("_given"),
+        F.to_json(F.struct(F.col("vehicle_id").alias("id"), vehicle.alias("vehicle"))).alias("entity"), "_source_file", "_ingested_at",
     )
-    rows = feeds.valid(feeds.typed(raw, feeds.POSITIONS))
-    return rows.select("vehicle_id", "event_ts", "service_date", "route_id", "latitude", "current_stop_sequence")
+
+
+@query(f"""SELECT vehicle_id, date_trunc('second', event_ts) AS event_ts, coalesce(trip_start_date, CAST(event_ts {LOCAL} AS DATE)) AS service_date, route_id, trip_id, direction_id,
+  trip_start_date, trip_start_time, vehicle_label, current_status, stop_id, current_stop_sequence, latitude, longitude, bearing, speed_mps, occupancy_status,
+  CAST(floor(epoch(fetched_at)) - floor(epoch(event_ts)) AS BIGINT) AS staleness_s, date_trunc('second', feed_header_ts) AS feed_header_ts,
+  date_trunc('second', fetched_at) AS fetched_at, _source_file, _ingested_at FROM {VP} WHERE {_REASON} IS NULL""")
+def parse_positions(spark, d):
+    """Positions as raw JSON messages, parsed and typed again, all columns."""
+    return feeds.valid(feeds.typed(raw_positions(T(spark, d, VP)), feeds.POSITIONS))
 
 
 @query(f"SELECT event_id, CAST(ts {LOCAL} AS DATE) AS local_day, CAST(hour(ts {LOCAL}) AS INTEGER) AS local_hour FROM events")
@@ -232,24 +240,6 @@ def stream_late_drop(spark, d):
     return spark.read.parquet(out).select("user_id", "event_id")
 
 
-@query(f"""WITH {_DAMAGED}, x AS (SELECT *, {_REASON} AS reason FROM damaged) SELECT 'vehicle_positions' AS feed, count(*) AS bronze_rows, count(reason) AS quarantined,
-  count(*) FILTER (WHERE reason IS NULL) - count(DISTINCT CASE WHEN reason IS NULL THEN (vehicle_id, event_ts) END) AS duplicates,
-  count(DISTINCT CASE WHEN reason IS NULL THEN (vehicle_id, event_ts) END) AS silver_rows,
-  round(100.0 * (count(*) FILTER (WHERE reason IS NULL) - count(DISTINCT CASE WHEN reason IS NULL THEN (vehicle_id, event_ts) END)) / count(*), 2) AS pct_duplicates
-  FROM x""")
-def reconcile(spark, d):
-    """Where every row went, in one pass."""
-    rows = damaged(spark, d).withColumn("good", S.first_reason(feeds.position_rules()).isNull())
-    sums = rows.agg(
-        F.count("*").alias("bronze_rows"), F.count_if("good").alias("valid"), F.count_distinct(F.when(F.col("good"), F.struct("vehicle_id", "event_ts"))).alias("silver_rows")
-    )
-    dup = F.col("valid") - F.col("silver_rows")
-    return sums.select(
-        F.lit("vehicle_positions").alias("feed"), "bronze_rows", (F.col("bronze_rows") - F.col("valid")).alias("quarantined"), dup.alias("duplicates"),
-        "silver_rows", S.share(dup, F.col("bronze_rows"), 2).alias("pct_duplicates"),
-    )
-
-
 # ---------------------------------------------------------------- versions and dimensions
 
 _VERSIONS = """v0 AS (SELECT feed_version, min(CAST(strptime(feed_start_date, '%Y%m%d') AS DATE)) AS valid_from FROM static_feed_info GROUP BY 1),
@@ -707,15 +697,7 @@ SELECT count(*) AS pairs, count(DISTINCT service_date) AS days, round(corr(delay
   round(quantile_cont(abs(delay_s - told), 0.9), 6) AS p90_abs_diff_s, quantile_cont(gap_s, 0.5) AS median_match_gap_s FROM n""")
 def crosscheck_nearest(spark, d):
     """Observed delays against the operator's own, the update nearest in time; one aggregation finds the nearest."""
-    seen = _dep(spark, d).where("observed_ts is not null").select("trip_id", "service_date", "stop_id", "observed_ts", "delay_s")
-    told = T(spark, d, TU).where("delay_s is not null").select("trip_id", F.col("trip_start_date").alias("service_date"), "event_ts", F.col("delay_s").alias("told"))
-    gap = F.abs(F.unix_seconds("event_ts") - F.unix_seconds("observed_ts"))
-    best = seen.join(told, ["trip_id", "service_date"]).groupBy("trip_id", "service_date", "stop_id").agg(F.min(F.struct(gap.alias("gap_s"), "told", "delay_s")).alias("b"))
-    off = F.abs(F.col("b.delay_s") - F.col("b.told"))
-    return best.agg(
-        F.count("*").alias("pairs"), F.count_distinct("service_date").alias("days"), F.round(F.corr(F.col("b.delay_s").cast("double"), F.col("b.told").cast("double")), 3).alias("correlation"),
-        F.percentile(off, 0.5).alias("median_abs_diff_s"), F.round(F.percentile(off, 0.9), 6).alias("p90_abs_diff_s"), F.percentile("b.gap_s", 0.5).alias("median_match_gap_s"),
-    )
+    return marts.agreement(marts.nearest_reports(_dep(spark, d), T(spark, d, TU))).withColumn("p90_abs_diff_s", F.round("p90_abs_diff_s", 6))
 
 
 # ---------------------------------------------------------------- benchmark reads
