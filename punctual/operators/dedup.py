@@ -66,11 +66,11 @@ def deletion_vectors(scan: DataFrame, identifier: Sequence[str], order: Sequence
     keys = _keys(identifier)
     many = cut(repeated(scan, identifier, order))
     salts = Salts(many, keys, ROWS_PER_PART, counted="copies")
-    rows = salts.spread(positions(scan, identifier, order), ["at"]).alias("a")
+    rows = salts.spread(positions(scan, identifier, []), ["at"]).alias("a")  # who isn't the winner, its place alone tells
     on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
     winners = salts.copies(many).alias("b")
     met = rows.join(winners, [*on, F.col(f"a.{SALT}") == F.col(f"b.{SALT}")])
-    lost = met.where("a.at <> b.winner").select(F.col("a.at.file").alias("file"), F.col("a.at.row").alias("row"))
+    lost = met.where("a.at.file <> b.winner.file or a.at.row <> b.winner.row").select(F.col("a.at.file").alias("file"), F.col("a.at.row").alias("row"))
     words = lost.groupBy("file", F.expr(f"row div {BLOCK}").alias("block"), F.expr(f"int(row % {BLOCK} div 64)").alias("word")).agg(
         F.expr("bit_or(shiftleft(1L, int(row % 64)))").alias("bits")
     )
