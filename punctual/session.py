@@ -58,15 +58,16 @@ def shared_dir(spark: SparkSession) -> str:
     return place
 
 
-_MADE: list[tuple[SparkSession, str]] = []
+_MADE: list[tuple] = []
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder, which ``release`` removes, as does the end of the program."""
     where = os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
     if not _MADE:
         atexit.register(release)
-    _MADE.append((spark, where))
+    _MADE.append((spark, path.getFileSystem(spark._jsc.hadoopConfiguration()), path))
     return where
 
 
@@ -74,14 +75,13 @@ def release(spark: SparkSession | None = None) -> int:
     """Removes what was written to paths of ``shared_path`` (of one session), once its results are used; returns how many."""
     done = 0
     for made in list(_MADE):
-        owner, where = made
+        owner, fs, path = made
         if spark is not None and owner is not spark:
             continue
         _MADE.remove(made)
         try:
-            path = owner._jvm.org.apache.hadoop.fs.Path(where)
-            done += path.getFileSystem(owner._jsc.hadoopConfiguration()).delete(path, True)
-        except Exception:  # the session is gone, and its folder is its owner's to clear
+            done += fs.delete(path, True)
+        except Exception:  # the JVM is gone, and the folder is its owner's to clear
             continue
     return done
 
