@@ -68,7 +68,11 @@ def as_known(
     events: DataFrame, changes: DataFrame, entity: str, at: str, valid_from: str, valid_to: str, attributes: Sequence[str],
     recorded: str | None = None, known_as: str | None = None, rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
-    """Events with the ``attributes`` valid at column ``at``; ``known_as`` names a flag: the entity has versions."""
+    """Events with the ``attributes`` valid at column ``at``; ``known_as`` names a flag: the entity has versions.
+
+    ``events`` is a scan, a checkpoint or made from one without a shuffle: rows of a hot entity go round its parts in
+    their order, which a task that is run again must find the same.
+    """
     names = {a: f"dim_{a}" if a in events.columns else a for a in attributes}
     fields = list(events.schema.fields) + [T.StructField(names[a], changes.schema[a].dataType) for a in attributes]
     if known_as:

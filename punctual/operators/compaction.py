@@ -24,6 +24,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -86,6 +87,13 @@ def plain_path(path: Column) -> Column:
     return F.regexp_replace(F.concat(F.lit("/"), bare), "/+", "/")
 
 
+def absolute(spark: SparkSession, path: Column) -> Column:
+    """A path without a scheme on Spark's default file system, where tasks must look for it too."""
+    home = spark._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(spark._jsc.hadoopConfiguration()).toString().rstrip("/")
+    home = "file://" if home == "file:" else home
+    return F.when(path.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), path).otherwise(F.concat(F.lit(home), path))
+
+
 def live_files(log: DataFrame) -> DataFrame:
     """(table_name, path, service_date, route_id, n_rows, size_bytes, uri) of the files whose last action is ``add``; ``uri``
     is the path as it was logged.
@@ -260,7 +268,7 @@ def compact(
     now = in_lots(files, list(scope), cluster).select(*keep, F.lit(0).alias("level"), F.lit(1).cast("long").alias("n_inputs"))
     for level in range(1, (levels or tiers.levels + 1) + 1):
         planned = cut(plan_level(now, list(scope), cluster, tiers, level))
-        inputs = F.array_sort(F.collect_list(F.struct(*near, "path", "n_rows"))).alias("inputs")
+        inputs = F.array_sort(F.collect_list(F.struct(*near, absolute(spark, F.col("path")).alias("path"), "n_rows"))).alias("inputs")
         merges = planned.where("bin is not null").groupBy(*scope, "_lot", "tier", "bin").agg(
             inputs, *[F.min(c).alias(c) for c in near], F.sum("size_bytes").alias("_bytes")
         )
@@ -316,14 +324,27 @@ def forget(spark: SparkSession, root: str, one_in: int) -> int:
 
 
 def vacuum(spark: SparkSession, root: str) -> int:
-    """Removes files below ``root`` that a committed merge has taken in, once the log names its output; returns how many."""
+    """Removes files below ``root`` that a committed merge has taken in, once the log names its output; returns how many.
+
+    The journal is read, and files are removed, by tasks.
+    """
     root = qualified(spark, root)
-    fs, base = filesystem(root)
-    taken = {p for t in committed(root) for p in t["inputs"]}
-    old = [i.path for i in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)) if f"{root}/{os.path.basename(i.path)}" in taken]
-    for path in old:
-        fs.delete_file(path)
-    return len(old)
+    try:
+        journal = spark.read.schema("inputs array<string>").json(f"{root}/_journal/*.commit.json")
+    except AnalysisException:  # no merge was committed
+        return 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = filesystem(root)
+        for batch in batches:
+            paths = [f"{base}/{os.path.basename(p)}" for p in batch.column(0).to_pylist()]
+            there = [i.path for i in fs.get_file_info(paths) if i.type == pafs.FileType.File]
+            for path in there:
+                fs.delete_file(path)
+            yield pa.RecordBatch.from_arrays([pa.array([len(there)], pa.int64())], ["n"])
+
+    taken = journal.select(F.explode("inputs").alias("path")).where(F.col("path").startswith(f"{root}/")).distinct()
+    return taken.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def write_small(rows: DataFrame, keys: Sequence[str], folder: str) -> DataFrame:

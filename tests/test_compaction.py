@@ -114,6 +114,15 @@ def test_rows_stay_exactly_as_often(spark, tmp_path):
     assert Counter(tuple(r) for r in spark.read.parquet(*names).select("k", "s", "x").collect()) == Counter(rows)
 
 
+def test_paths_without_a_scheme_and_an_empty_journal(spark, tmp_path):
+    rows = small_table(spark, f"{tmp_path}/t", 8)
+    assert compaction.vacuum(spark, f"{tmp_path}/out") == 0
+    bare = scanned(spark, f"{tmp_path}/t").withColumn("path", plain_path(F.col("path")))
+    out = compact(spark, f"{tmp_path}/out", "t", bare, tiers=FEW).collect()
+    assert all(r.path.startswith("file:/") for r in out if r.n_inputs > 1) and sum(r.n_rows for r in out) == len(rows)
+    assert all(p.startswith("file:///") for t in compaction.committed(f"{tmp_path}/out") for p in t["inputs"])
+
+
 def test_broken_off_between_output_and_commit(spark, tmp_path):
     rows = small_table(spark, f"{tmp_path}/t")
     before, root = scanned(spark, f"{tmp_path}/t"), f"file://{tmp_path}/out"
