@@ -5,6 +5,7 @@ What the steps read is made from the test tables by plain rules, alike in Spark
 
 from __future__ import annotations
 
+import io
 import json
 import tempfile
 import zipfile
@@ -18,12 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.functions import scalars as S
-from punctual.operators import feeds, marts
+from punctual.operators import dimensions, feeds, marts, quality
 from punctual.operators.history import ROUTES, STOPS, full_history
-from punctual.plans import benchmarks, control, datasets, metrics, views
+from punctual.plans import benchmarks, control, dashboard, datasets, metrics, views
 from punctual.plans.problem_queries import _history_sql
 from punctual.plans.queries import (
-    _DAMAGED, _DEPARTURES, _LOG, _REASON, DEP, GAPS, LOCAL, QUERIES, SQL, TU, VP, _lake, check_log, damaged, query, raw_positions, run_log, stop_times, table,
+    _DAMAGED, _DEPARTURES, _LOG, _REASON, _rule_sql, DEP, GAPS, LOCAL, QUERIES, SQL, TU, VP, _lake, check_log, damaged, query, raw_positions, run_log, stop_times, table,
 )
 from punctual.session import shared_path
 from punctual.sources import feed_api, snapshot, static_release, weather_api, wire
@@ -87,6 +88,16 @@ def decode_positions(spark, d):
     )
 
 
+@query(f"""SELECT vehicle_id, {_SECOND('event_ts')} AS event_ts, CAST(NULL AS VARCHAR) AS trip_id, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS INTEGER) AS direction_id,
+  CASE WHEN vehicle_id IS NULL OR trim(vehicle_id) = '' THEN 'missing_vehicle_id' WHEN event_ts IS NULL THEN 'missing_or_bad_timestamp' ELSE 'missing_position' END AS reason FROM {VP}""")
+def parse_sparse(spark, d):
+    """Messages of a shape without trips and positions: the fields that the data has never had are null."""
+    raw = raw_positions(T(spark, d, VP)).select("feed_header_ts", "fetched_at", "_source_file", "_ingested_at", "entity")
+    shape = "struct<id: string, vehicle: struct<vehicle: struct<id: string>, timestamp: string>>"
+    rows = feeds.typed(raw.withColumn("entity", F.from_json("entity", shape)), feeds.POSITIONS)
+    return rows.select("vehicle_id", "event_ts", "trip_id", "latitude", "direction_id", F.col("_dq_reason").alias("reason"))
+
+
 class _Feeds:
     """A web session that answers with two snapshots, of which the second is the first again after a failure."""
 
@@ -143,12 +154,15 @@ def stream_typed(spark, d):
 SELECT 'reason' AS kind, {_REASON} AS name, count(*) AS n FROM damaged WHERE {_REASON} IS NOT NULL GROUP BY ALL
 UNION ALL SELECT 'ingest', 'lines_read', lines FROM n UNION ALL SELECT 'refine', 'bronze_rows_read', lines FROM n UNION ALL SELECT 'refine', 'silver_rows_added', keys FROM u
 UNION ALL SELECT 'refine', 'quarantine_rows_added', bad FROM n UNION ALL SELECT 'refine', 'dropped_late', 0
-UNION ALL SELECT 'again', 'silver_rows_added', 0 UNION ALL SELECT 'again', 'quarantine_rows_added', 0""")
+UNION ALL SELECT 'again', 'silver_rows_added', 0 UNION ALL SELECT 'again', 'quarantine_rows_added', 0 UNION ALL SELECT 'reset', 'silver_rows_added', keys FROM u""")
 def stream_counts(spark, d):
-    """What the streams counted, the quarantine by reason, and that a second run finds nothing new."""
+    """What the streams counted, the quarantine by reason, that a second run finds nothing new, and after a reset all."""
     lake, done, read = _landed(spark, d)
     again = pipeline.refine(lake, "vehicle_positions")
+    pipeline.reset(lake)
+    anew = pipeline.refine(lake, "vehicle_positions")
     rows = [("ingest", "lines_read", read), *[("refine", k, v) for k, v in done.items()], *[("again", k, again[k]) for k in ("silver_rows_added", "quarantine_rows_added")]]
+    rows.append(("reset", "silver_rows_added", anew["silver_rows_added"]))
     by_reason = lake.read("silver_quarantine").groupBy(F.lit("reason").alias("kind"), F.col("reason").alias("name")).agg(F.count("*").alias("n"))
     return spark.createDataFrame(rows, "kind string, name string, n long").unionByName(by_reason)
 
@@ -184,7 +198,7 @@ def stream_insert_pruned(spark, d):
 SELECT (SELECT v FROM v) AS feed_version, route_id AS trip_id, 'S' || route_id AS stop_id, n AS stop_sequence, CAST(n * 3600 + 309 AS INTEGER) AS arrival_secs,
   CAST((20 + n) * 3600 + 600 AS INTEGER) AS departure_secs, CAST(n % 2 AS INTEGER) AS timepoint, CAST(n / 2.0 AS DOUBLE) AS shape_dist_traveled FROM r""")
 def static_load(spark, d):
-    """A release's archive, loaded twice by name of its version, and its stop times typed; one stop a route of the last release."""
+    """A release's archive, downloaded and named by its version, loaded twice, and its stop times typed; one stop a route."""
     rows = T(spark, d, "static_routes")
     version = rows.agg(F.max("feed_version")).first()[0]
     ids = [r.route_id for r in rows.where(F.col("feed_version") == version).select("route_id").distinct().toLocalIterator()]  # some 200 routes
@@ -192,10 +206,11 @@ def static_load(spark, d):
     lines += [f"{i},S{i},{len(i)},{len(i)}:05:09,{20 + len(i)}:10:00,{len(i) % 2},{len(i) / 2}" for i in ids]
     lake = _lake(spark)
     with tempfile.TemporaryDirectory() as here:
-        archive = Path(here, "release.zip")
-        with zipfile.ZipFile(archive, "w") as z:
+        body = io.BytesIO()
+        with zipfile.ZipFile(body, "w") as z:
             z.writestr("feed/feed_info.txt", f"﻿feed_publisher_name,feed_version\nX,{version}\n")
             z.writestr("feed/stop_times.txt", "\n".join(lines) + "\n")
+        archive = feed_api.download(_Feeds(body.getvalue()), "u", "k", Path(here, "got"), static_release.version_of)
         for _ in range(2):
             static_release.load(lake, archive, Path(here, "out"))
     static_release.build_stop_times(lake, version)
@@ -261,6 +276,42 @@ def build_log(spark, d):
     )
 
 
+_ENDS = """starts AS (SELECT feed_version, min(CAST(try_strptime(feed_start_date, '%Y%m%d') AS DATE)) AS start FROM static_feed_info
+  WHERE feed_version IN (SELECT feed_version FROM static_routes) AND feed_version IN (SELECT feed_version FROM static_stops) GROUP BY 1),
+ends AS (SELECT arg_min(feed_version, start) AS v1, min(start) AS s1, arg_max(feed_version, start) AS v2, max(start) AS s2 FROM starts)"""
+
+
+def _two_releases(key: str, name: str, columns: tuple[str, ...]) -> str:
+    """The dimension after the first and the last release: of one key's rows the least counts."""
+    order = ", ".join(f"{c} NULLS FIRST" for c in columns)
+    packed = "concat_ws(chr(31), " + ", ".join(f"coalesce({c}, chr(0))" for c in columns) + ")"
+    one = lambda v: f"(SELECT {key}, sha256({packed}) AS h FROM static_{name} WHERE feed_version = (SELECT {v} FROM ends) QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order}) = 1)"
+    sides = f"(SELECT coalesce(a.{key}, b.{key}) AS id, a.h AS ha, b.h AS hb, ends.* FROM {one('v1')} a FULL JOIN {one('v2')} b USING ({key}), ends)"
+    return f"""SELECT '{name}' AS entity, id, ha AS attr_hash, v1 AS feed_version, s1 AS valid_from, CASE WHEN ha IS DISTINCT FROM hb THEN s2 END AS valid_to,
+      ha IS NOT DISTINCT FROM hb AS is_current FROM {sides} WHERE ha IS NOT NULL
+      UNION ALL SELECT '{name}', id, hb, v2, s2, NULL, true FROM {sides} WHERE hb IS NOT NULL AND hb IS DISTINCT FROM ha"""
+
+
+@query(f"WITH {_ENDS} " + " UNION ALL ".join(_two_releases(s.key, n, s.columns) for n, s in dimensions.DIMENSIONS.items()))
+def dims_loaded(spark, d):
+    """Both dimensions after two releases that were loaded by name, the first and the last of those with a start day."""
+    lake, info = _lake(spark), T(spark, d, "static_feed_info")
+    lake.overwrite("static_feed_info", info)
+    given = None
+    for name in dimensions.DIMENSIONS:
+        rows = T(spark, d, f"static_{name}")
+        lake.overwrite(f"static_{name}", rows)
+        own = rows.select("feed_version").distinct()
+        given = own if given is None else given.intersect(own)
+    starts = info.join(given, "feed_version", "left_semi").groupBy("feed_version").agg(F.min(S.compact_date(F.col("feed_start_date"))).alias("start"))
+    ends = starts.agg(F.min_by("feed_version", "start").alias("first"), F.max_by("feed_version", "start").alias("last")).first()
+    for version in (ends.first, ends.last):
+        dimensions.load_release(lake, version)
+    shown = ["attr_hash", "feed_version", "valid_from", "valid_to", "is_current"]
+    parts = [lake.read(f"dim_{n}").select(F.lit(n).alias("entity"), F.col(s.key).alias("id"), *shown) for n, s in dimensions.DIMENSIONS.items()]
+    return parts[0].unionByName(parts[1])
+
+
 _OF = {"route": (ROUTES, "routes"), "stop": (STOPS, "stops")}
 
 
@@ -383,6 +434,43 @@ def control_run(spark, d):
     return lake.read("ops_run_log").groupBy("step", "status").agg(F.count("*").cast("int").alias("attempts"))
 
 
+_LATEST = f"service_date BETWEEN (SELECT min(service_date) + 1 FROM {DEP}) AND (SELECT max(service_date) FROM {DEP})"
+
+
+@query(" UNION ALL ".join(_rule_sql(r, _LATEST) for r in quality.RULES))
+def quality_run(spark, d):
+    """The verdicts that a run records for the service dates of the latest build, before it fails on a critical one."""
+    lake, dep = _lake(spark), T(spark, d, DEP)
+    for name in (VP, TU, GAPS):
+        lake.overwrite(name, T(spark, d, name))
+    lake.overwrite(DEP, dep)
+    lake.overwrite("gold_route_hour_performance", marts.hourly_performance(dep))
+    days = dep.agg(F.min("service_date").alias("a"), F.max("service_date").alias("b")).first()
+    for low, at in ((days.a + timedelta(days=1), 2), (days.a, 1)):  # the later build is appended first
+        lake.append("gold_build_log", spark.createDataFrame([(low, days.b, datetime(2026, 1, at))], "start_date date, end_date date, built_at timestamp"))
+    try:
+        quality.run_checks(lake, "r")
+    except quality.QualityError:
+        pass
+    return lake.read("dq_results").select("check_name", "table_name", "severity", "failed", "total", "fail_pct", "passed")
+
+
+@query(f"""WITH k AS (SELECT * FROM ({SQL['kpis_weighted']})), w AS (SELECT * FROM ({SQL['min_sample_routes']}) ORDER BY pct_on_time, departures DESC, route_id LIMIT 1)
+SELECT 1 AS n, format('{{:g}}% of {{:,}} graded departures left on time.', pct_on_time, departures) AS sentence FROM k
+UNION ALL SELECT 2, format('At weekday rush hour it is {{}}: {{:g}}% on time, {{:g}}% at other hours.', CASE WHEN rush_pct_on_time < rest_pct_on_time THEN 'worse' ELSE 'better' END,
+  rush_pct_on_time, rest_pct_on_time) FROM k WHERE abs(rush_pct_on_time - rest_pct_on_time) >= 1
+UNION ALL SELECT 3, format('{{:g}}% of headways were bunched, below a quarter of the scheduled one.', pct_bunched) FROM k
+UNION ALL SELECT 4, format('Of routes with at least {{}} departures, {{}} is the least punctual: {{:g}}% on time.', least_departures, route, pct_on_time) FROM w""")
+def headline_sentences(spark, d):
+    """The findings in plain sentences."""
+    route_hour = datasets.of("route_hour", T(spark, d, DEP), T(spark, d, GAPS)).where("day_type is not null").withColumn("hour_local", F.coalesce("hour_local", F.lit(-1)))
+    summary = datasets.of("route_summary", T(spark, d, DEP), T(spark, d, GAPS), T(spark, d, "dim_routes"))
+    kinds = (("% of", "departures left"), ("At weekday", ""), ("% of headways", ""), ("Of routes", ""))
+    said = dashboard.headline(route_hour, summary)
+    rows = [(next(n for n, (a, b) in reversed(list(enumerate(kinds, 1))) if a in s and b in s), s) for s in said]
+    return spark.createDataFrame(rows, "n int, sentence string")
+
+
 def queries() -> dict:
     return {k: v for k, v in QUERIES.items() if k not in _BEFORE}
 

@@ -434,12 +434,12 @@ def _checked(spark: SparkSession, d: str) -> DataFrame:
     return quality.check_tables(tables | {"gold_route_hour_performance": marts.hourly_performance(tables[DEP])})
 
 
-def _rule_sql(r: quality.Rule) -> str:
-    source = r.table
+def _rule_sql(r: quality.Rule, inside: str = "true") -> str:
+    source = f"(SELECT * FROM {r.table} WHERE {inside})"
     if r.table == "gold_route_hour_performance":
         source = f"""(SELECT count(*) AS departures, count(*) FILTER (WHERE otp_status = 'on_time') AS on_time, count(*) FILTER (WHERE otp_status = 'early') AS early,
           count(*) FILTER (WHERE otp_status = 'late') AS late, round(100.0 * count(*) FILTER (WHERE otp_status = 'on_time') / count(*), 1) AS pct_on_time
-          FROM {DEP} GROUP BY service_date, day_of_week, route_id, hour_local)"""
+          FROM {DEP} WHERE {inside} GROUP BY service_date, day_of_week, route_id, hour_local)"""
     bad = f"count(*) OVER (PARTITION BY {', '.join(r.key)}) > 1" if r.key else r.bad
     return f"""SELECT '{r.name}' AS check_name, '{r.table}' AS table_name, '{r.severity}' AS severity, count(*) FILTER (WHERE bad) AS failed, count(*) AS total,
       CASE WHEN count(*) > 0 THEN round(100.0 * count(*) FILTER (WHERE bad) / count(*), 3) ELSE 0 END AS fail_pct,
