@@ -100,8 +100,8 @@ def oracle_sql() -> dict[str, str]:
     cols = ", ".join(
         f"CAST(quantile_disc(delay_s, {q}) AS DOUBLE) AS p{100 * q:g}" for q in PERCENTILES
     )
-    # Exact at the size of the SQL check: no group of a route and an hour reaches the 500 values from which summaries of
-    # a task are compressed. p1_direction_bounds has groups of thousands.
+    # Exact at the size of the SQL check: no group of a route and an hour reaches the 500 values (one in eps) from
+    # which summaries may be compressed; the largest has 327. p1_direction_bounds has groups of thousands.
     whole = (
         f"SELECT route_id, hour_local, count(*) AS n, {cols}, CAST(0 AS BIGINT) AS rank_error "
         "FROM gold_timepoint_departures WHERE delay_s IS NOT NULL GROUP BY ALL"

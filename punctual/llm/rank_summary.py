@@ -11,7 +11,7 @@ parts holds a bounded number of values.
 
 Defined results: null and NaN values are left out, null group keys form a group of their own, groups without a value
 give no row; results do not depend on order, partitioning or repeated merging beyond the stated bound, and are exact
-(bound 0) while a group has fewer than ``1 / (2 * eps)`` values.
+(bound 0) while a group has fewer than ``1 / eps`` values.
 """
 
 from __future__ import annotations
