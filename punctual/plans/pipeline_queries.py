@@ -26,7 +26,7 @@ from punctual.plans.problem_queries import _history_sql
 from punctual.plans.queries import (
     _DAMAGED, _DEPARTURES, _LOG, _REASON, _rule_sql, DEP, GAPS, LOCAL, QUERIES, SQL, TU, VP, _lake, check_log, damaged, query, raw_positions, run_log, stop_times, table,
 )
-from punctual.session import shared_path
+from punctual.session import shared_path, spread
 from punctual.sources import feed_api, snapshot, static_release, weather_api, wire
 from punctual.sources.lake import Lake, each_batch_inserts
 from punctual.sources.store import HadoopStore
@@ -58,7 +58,7 @@ def parse_updates(spark, d):
         F.array_repeat(F.struct(F.lit("s").alias("stop_id")), F.col("n_stop_time_updates")).alias("stop_time_update"),
         F.when(seconds % 13 != 0, seconds.cast("string")).alias("timestamp"),
     )
-    raw = T(spark, d, TU).select(
+    raw = spread(T(spark, d, TU)).select(
         F.lit("trip_updates").alias("feed"), F.unix_seconds("feed_header_ts").cast("string").alias("feed_header_ts"),
         F.date_format("fetched_at", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("fetched_at"), F.to_json(F.struct(body.alias("trip_update"))).alias("entity"), "_source_file", "_ingested_at",
     )

@@ -18,7 +18,7 @@ from punctual.operators import feeds, marts, quality
 from punctual.operators.dimensions import empty_dimension, next_state, release_rows
 from punctual.operators.history import Tracked
 from punctual.plans import benchmarks, dashboard, datasets, metrics
-from punctual.session import LOCAL_ZONE, shared_path, table
+from punctual.session import LOCAL_ZONE, shared_path, spread, table
 from punctual.sources.lake import Lake, each_batch_inserts
 from punctual.sources.snapshot import overlap
 from punctual.streaming.pipeline import distinct_in_stream, stream_files
@@ -121,7 +121,8 @@ def quarantine_split(spark, d):
 
 
 def raw_positions(rows: DataFrame) -> DataFrame:
-    """Positions as raw rows, each message as JSON text."""
+    """Positions as raw rows, each message as JSON text; a table in few files is dealt out first, as landed files are many."""
+    rows = spread(rows)
     text = lambda c, name=None: F.col(c).cast("string").alias(name or c)
     vehicle = F.struct(
         F.struct(

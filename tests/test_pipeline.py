@@ -56,6 +56,11 @@ def test_reasons(spark, entity, reason, as_text):
     assert feeds.typed(raw(spark, entity, as_text=as_text), feeds.POSITIONS).first()["_dq_reason"] == reason
 
 
+def test_a_message_is_parsed_once(spark):
+    rows = feeds.valid(feeds.typed(raw(spark, vehicle(), as_text=True), feeds.POSITIONS))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
 def test_updates(spark):
     rows = feeds.typed(raw(spark, update(), update(trip=None), update(ts="x"), feed="trip_updates"), feeds.UPDATES).collect()
     assert [r["_dq_reason"] for r in rows] == [None, "missing_trip_id", None]
