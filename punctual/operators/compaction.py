@@ -128,8 +128,11 @@ def log_actions(before: DataFrame, after: DataFrame, table: str, version: int) -
 def in_lots(files: DataFrame, scope: Sequence[str], cluster: Sequence[str]) -> DataFrame:
     """Files with ``_lot``: a range of hashes of the first clustering column, so it keeps neighbours together where it can."""
     lots = files.groupBy(*scope).agg(F.ceil(F.count("*") / FILES_PER_LOT).cast("int").alias("_lots"))
-    on = [F.col(f"f.{c}").eqNullSafe(F.col(f"l.{c}")) for c in scope]
-    rows = files.alias("f").join(lots.alias("l"), on, "left").select("f.*", "_lots") if scope else files.join(F.broadcast(lots))
+    if scope:
+        on = [F.col(f"f.{c}").eqNullSafe(F.col(f"l.{c}")) for c in scope]
+        rows = files.alias("f").join(lots.alias("l"), on, "left").select("f.*", "_lots")
+    else:
+        rows = files.withColumn("_lots", lots.scalar())
     lot = F.pmod(F.xxhash64(*cluster[:1], F.hash("path") % 64), F.col("_lots"))
     return rows.withColumn("_lot", F.when(F.col("_lots") > 1, lot).otherwise(F.lit(0).cast("long"))).drop("_lots")
 
