@@ -41,9 +41,9 @@ def p1_direction_bounds(spark: SparkSession, d: str) -> DataFrame:
     found = group_percentiles(rows, keys, "service_date", "delay_s", at)
     asked = F.explode(F.array(*[F.struct(F.lit(q).alias("q"), F.col(f"p{100 * q:g}").alias("value")) for q in at])).alias("a")
     answers = found.select(F.col("direction_id").alias("g"), "n", "rank_error", asked).select("g", "n", "rank_error", "a.*")
-    # The number of rows at each delay against seven answers for each direction, of which there are a few.
+    # The number of rows at each delay against seven answers for each direction.
     counts = rows.where("delay_s is not null").groupBy("direction_id", "delay_s").count()
-    ranked = counts.join(F.broadcast(answers), F.col("g").eqNullSafe(F.col("direction_id"))).groupBy("g", "n", "rank_error", "q").agg(
+    ranked = counts.join(answers, F.col("g").eqNullSafe(F.col("direction_id"))).groupBy("g", "n", "rank_error", "q").agg(
         F.sum(F.when(F.col("delay_s") < F.col("value"), F.col("count")).otherwise(0)).alias("below"),
         F.sum(F.when(F.col("delay_s") <= F.col("value"), F.col("count")).otherwise(0)).alias("through"),
     )
