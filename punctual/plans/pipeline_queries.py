@@ -385,12 +385,12 @@ def daily_order(spark, d):
 @query(SQL["daily_trend"])
 def snapshot_read_back(spark, d):
     """The daily dataset exported with its manifest and read back with its types."""
-    lake, place = _lake(spark), shared_path(spark, "snapshot")
-    folder = place.removeprefix("file://") if place.startswith(("/", "file:///")) else tempfile.mkdtemp()
+    lake = _lake(spark)
     for name in (DEP, GAPS):
         lake.overwrite(name, T(spark, d, name))
-    datasets.export(lake, folder, "r")
-    return snapshot.load(spark, folder)["daily"]
+    with tempfile.TemporaryDirectory() as folder:  # the driver's, as for any export
+        datasets.export(lake, folder, "r")
+        return snapshot.load(spark, folder)["daily"]
 
 
 @query(SQL["pit_enriched"])

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from punctual.session import shared_path
+
 MANIFEST = "manifest.json"
 # The datasets and the types of their columns; an id such as 070 is text.
 _PLACE = "service_date date, route_id string, direction_id int, stop_id string"
@@ -58,12 +60,18 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def load(spark: SparkSession, folder: str | Path) -> Snapshot | None:
-    """The snapshot in a folder; None without a manifest."""
+    """The snapshot in a folder of this machine; None without a manifest. Tasks read copies in the shared folder."""
     folder = Path(folder)
     if not (folder / MANIFEST).exists():
         return None
     files = {n: folder / f"{n}.csv" for n in SCHEMAS}
-    found = {n: read_csv(spark, f.absolute().as_uri(), SCHEMAS[n]) for n, f in files.items() if f.exists()}
+    hadoop, place, found = spark._jvm.org.apache.hadoop.fs, shared_path(spark, "snapshot"), {}
+    for name, file in files.items():
+        if file.exists():
+            copy = hadoop.Path(f"{place}/{file.name}")
+            fs = copy.getFileSystem(spark._jsc.hadoopConfiguration())
+            fs.copyFromLocalFile(False, True, hadoop.Path(file.absolute().as_uri()), copy)
+            found[name] = read_csv(spark, copy.toString(), SCHEMAS[name])
     return Snapshot(json.loads((folder / MANIFEST).read_text(encoding="utf-8")), found)
 
 
