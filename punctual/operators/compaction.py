@@ -21,6 +21,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
@@ -199,17 +200,16 @@ def merge_files(root: str, table: str, inputs: list[dict], level: int = 1, row_g
             return json.loads(f.read())
     about = {"id": txn, "table": table, "level": level, "inputs": paths, "output": address}
     write_whole(fs, f"{journal}/{txn}.intent.json", json.dumps(about).encode())
-    schema = pa.unify_schemas([_schema(p) for p in paths], promote_options="permissive").remove_metadata()
+    footers = [_footer(p) for p in paths]
+    schema = pa.unify_schemas([f.schema.to_arrow_schema() for f in footers], promote_options="permissive").remove_metadata()
     part, n = f"{out}.{uuid.uuid4().hex}.part", 0
     with fs.open_output_stream(part) as sink, pq.ParquetWriter(sink, schema, compression="zstd") as writer:
         held, rows = [], 0
-        for p in paths:
+        for p, footer in zip(paths, footers):
             source, inner = filesystem(p)
             with source.open_input_file(inner) as f:
-                for batch in pq.ParquetFile(f).iter_batches(batch_size=1 << 16):
-                    t = pa.Table.from_batches([batch])
-                    columns = [t.column(x.name).cast(x.type) if x.name in t.column_names else pa.nulls(t.num_rows, x.type) for x in schema]
-                    held.append(pa.table(columns, schema=schema))
+                for t in _tables(pq.ParquetFile(f, metadata=footer)):
+                    held.append(_shaped(t, schema))
                     rows += t.num_rows
                     if rows >= row_group_rows:
                         writer.write_table(pa.concat_tables(held), row_group_size=row_group_rows)
@@ -227,10 +227,27 @@ def merge_files(root: str, table: str, inputs: list[dict], level: int = 1, row_g
     return done
 
 
-def _schema(path: str) -> pa.Schema:
+def _footer(path: str) -> pq.FileMetaData:
     fs, inner = filesystem(path)
     with fs.open_input_file(inner) as f:
-        return pq.read_schema(f)
+        return pq.read_metadata(f)
+
+
+def _tables(file: pq.ParquetFile) -> Iterator[pa.Table]:
+    """A file's rows in pieces that fit into memory; a small file in one."""
+    if file.metadata.num_rows <= 1 << 16:
+        yield file.read(use_threads=False)
+    else:
+        for batch in file.iter_batches(batch_size=1 << 16):
+            yield pa.Table.from_batches([batch])
+
+
+def _shaped(t: pa.Table, schema: pa.Schema) -> pa.Table:
+    """With the columns of ``schema``; those that the file lacks are null."""
+    if t.schema.equals(schema):
+        return t.replace_schema_metadata()
+    columns = [t.column(x.name).cast(x.type) if x.name in t.column_names else pa.nulls(t.num_rows, x.type) for x in schema]
+    return pa.table(columns, schema=schema)
 
 
 def list_files(df: DataFrame) -> DataFrame:
@@ -351,21 +368,42 @@ def vacuum(spark: SparkSession, root: str) -> int:
 
 
 def write_small(rows: DataFrame, keys: Sequence[str], folder: str) -> DataFrame:
-    """Writes one file for each combination of ``keys``, named by it, as a pipeline without compaction would.
+    """Writes one file for each combination of ``keys``, named by its hash, as a pipeline without compaction would.
 
     Returns (path, service_date, route_id, n_rows, size_bytes); lazy, so it is to be written or cut.
     """
     folder = qualified(rows.sparkSession, folder)
 
-    def write(key: tuple, t: pa.Table) -> pa.Table:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = filesystem(folder)
         fs.create_dir(base, recursive=True)
-        name = hashlib.sha256(repr([k.as_py() for k in key]).encode()).hexdigest()[:32] + ".parquet"
-        sink = pa.BufferOutputStream()
-        pq.write_table(t, sink)
-        body = sink.getvalue()
-        write_whole(fs, f"{base}/{name}", body)
-        one = {c: t.column(c).slice(0, 1) for c in ("service_date", "route_id")}
-        return pa.table({"path": [f"{folder}/{name}"], **one, "n_rows": [t.num_rows], "size_bytes": [body.size]})
-
-    return rows.groupBy(*keys).applyInArrow(write, "path string, service_date date, route_id string, n_rows long, size_bytes long")
+        held: list[pa.Table] = []
+        done: list[tuple] = []
+
+        def flush() -> None:
+            t = pa.concat_tables(held)
+            name = f"{t.column('_key')[0].as_py() & (1 << 64) - 1:016x}.parquet"
+            sink = pa.BufferOutputStream()
+            pq.write_table(t.drop_columns(["_key"]), sink, store_schema=False, write_statistics=False)
+            body = sink.getvalue()
+            write_whole(fs, f"{base}/{name}", body)
+            done.append((f"{folder}/{name}", t.column("service_date")[0].as_py(), t.column("route_id")[0].as_py(), t.num_rows, body.size))
+            held.clear()
+
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            key = t.column("_key").to_numpy()
+            edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)] if len(key) else []
+            for a, b in zip(edges, edges[1:]):
+                piece = t.slice(a, b - a)
+                if held and held[0].column("_key")[0] != piece.column("_key")[0]:
+                    flush()
+                held.append(piece)
+        if held:
+            flush()
+        kinds = [("path", pa.string()), ("service_date", pa.date32()), ("route_id", pa.string()), ("n_rows", pa.int64()), ("size_bytes", pa.int64())]
+        yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], kind) for k, (_, kind) in enumerate(kinds)], [n for n, _ in kinds])
+
+    named = rows.withColumn("_key", F.xxhash64(*keys))
+    together = named.repartition("_key").sortWithinPartitions("_key")
+    return together.mapInArrow(write, "path string, service_date date, route_id string, n_rows long, size_bytes long")

@@ -127,7 +127,7 @@ def p4_rows(spark: SparkSession, d: str) -> DataFrame:
     ):
         log, root = f"log_{name}", shared_path(spark, f"compact-{name}")
         rows = _scan(spark, d, name).withColumn("_piece", pieces)
-        written = cut(write_small(rows, ["service_date", "route_id", "_piece"], shared_path(spark, f"small-{name}")))
+        written = cut(write_small(rows, ["service_date", "route_id", "_piece"], root))
         lake.append(log, log_actions(written.limit(0), written, name, 1))
         small = live_files(lake.read(log)).withColumn("path", F.col("uri"))
         given = dict(scope=["service_date"], cluster=["route_id", "path"])
