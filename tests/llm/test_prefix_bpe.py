@@ -1,10 +1,12 @@
 import os
+import random
 
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from punctual.llm.prefix_bpe import TOKENIZERS, EditableText, Encoder, PrefixTable, Vocabulary, encode_corpus
+from punctual.llm.prefix_bpe import TOKENIZERS, WORD_PATTERN, EditableText, Encoder, PrefixTable, Vocabulary, encode_corpus, word_splitter
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(TOKENIZERS), reason="no public tokenizers here")
 TEXT = st.text(alphabet=st.one_of(st.sampled_from(list("abehlorst'  \n\t.,-<|>0123")), st.characters(exclude_categories=["Cs"])), max_size=60)
@@ -80,3 +82,16 @@ def test_table(spark, encoder):
     out = encode_corpus(docs)
     assert out.columns == ["doc_id", "ids"] and sorted((r.doc_id, r.ids) for r in out.collect()) == sorted((i, encoder.encode(t)) for i, t in rows)
     assert encode_corpus(docs.limit(0)).count() == 0
+
+
+def test_both_matchers_split_alike():
+    slow, fast = regex.compile(WORD_PATTERN).findall, word_splitter(WORD_PATTERN)
+    every = "".join(chr(o) for o in range(0x10000) if not 0xD800 <= o < 0xE000)
+    assert fast(every) == slow(every) and fast("") == []
+    rnd = random.Random(4)
+    alphabet = "aZé ßЖ中ﬁ²½٣Ⅷ_'s'll\t\n\r\x1c\x85\u00a0\u2028\u3000\u200b\u0301-.,!😀𝔸"
+    for _ in range(3000):
+        text = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 30)))
+        assert fast(text) == slow(text), text
+    for word in (" x", "  x", "x  ", "x \n y", "don't I'll", "\u00a0x", "a\u00a0\u00a0b"):
+        assert fast(word) == slow(word)
