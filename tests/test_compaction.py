@@ -127,7 +127,7 @@ def test_broken_off_between_output_and_commit(spark, tmp_path):
     rows = small_table(spark, f"{tmp_path}/t")
     before, root = scanned(spark, f"{tmp_path}/t"), f"file://{tmp_path}/out"
     first = {r.path for r in compact(spark, root, "t", before, tiers=FEW, levels=1).collect()}
-    lost = compaction.forget(spark, root, 2)
+    lost = compaction.forget(spark, root, 1)  # all: which of several would hang on the names of the files
     assert lost and len(compaction.recover(root)) == lost
     assert {r.path for r in compact(spark, root, "t", before, tiers=FEW, levels=1).collect()} == first
     names = [r.path for r in compact(spark, root, "t", before, tiers=FEW).collect()]
